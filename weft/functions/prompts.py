@@ -62,11 +62,11 @@ def _msg(role: str, content: Column) -> Column:
 
 def system_text(messages: Column | str) -> Column:
     """Content of the system message, NULL when there is none."""
-    return F.element_at(F.filter(_c(messages), lambda m: m["role"] == "system"), 1)["content"]
+    return F.try_element_at(F.filter(_c(messages), lambda m: m["role"] == "system"), F.lit(1))["content"]
 
 
 def user_text(messages: Column | str) -> Column:
-    return F.element_at(F.filter(_c(messages), lambda m: m["role"] == "user"), -1)["content"]
+    return F.try_element_at(F.filter(_c(messages), lambda m: m["role"] == "user"), F.lit(-1))["content"]
 
 
 def direct(prompt) -> Column:

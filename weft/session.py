@@ -58,11 +58,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(base, "tables", f"{name}-{uuid.uuid4().hex[:12]}")
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` reliably into the shared checkpoint folder. Unlike a
-    local checkpoint, this survives executor loss."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def cut_lineage(df: DataFrame, name: str = "stage") -> DataFrame:
+    """Materialise ``df`` as a Parquet table in the shared checkpoint folder
+    and read it back: one computation, no lineage behind it, and the data
+    survives executor loss (unlike a local checkpoint or a cache)."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.mode("errorifexists").parquet(path)
+    return df.sparkSession.read.parquet(path)
 
 
 def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
@@ -93,3 +95,14 @@ def ship_package(spark: SparkSession) -> None:
     archive = shutil.make_archive(os.path.join(out_dir, "weft"), "zip", root_dir=os.path.dirname(pkg_dir), base_dir="weft")
     sc.addPyFile(archive)
     _SHIPPED.add(key)
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
+    """Broadcast-hint ``df`` only after checking it has at most ``max_rows``
+    rows; above that, leave it to a shuffle join. The check is one count job
+    over the (small, usually aggregated) side."""
+    from pyspark.sql import functions as F
+
+    if df.count() <= max_rows:
+        return F.broadcast(df)
+    return df
