@@ -1,0 +1,128 @@
+"""Cosine, hashing embedder, exact top-k matching."""
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from weft.functions.vectors import cosine, decode_vector, dot, l2_norm, score_label
+from weft.operators.embedding import HashingEmbedder, sum_sq_counts
+from weft.operators.scoring import top_k_matches
+
+
+def test_cosine_edges(spark):
+    df = spark.createDataFrame(
+        [(1, [1.0, 0.0], [1.0, 0.0]), (2, [1.0, 2.0], [-1.0, -2.0]), (3, [0.0, 0.0], [1.0, 1.0]),
+         (4, None, [1.0, 1.0]), (5, [3.0, 4.0], [4.0, 3.0])],
+        "id int, a array<double>, b array<double>")
+    got = {r["id"]: r["c"] for r in df.select("id", cosine("a", "b").alias("c")).collect()}
+    assert got[1] == pytest.approx(1.0)
+    assert got[2] == pytest.approx(-1.0)
+    assert got[3] is None and got[4] is None
+    assert got[5] == pytest.approx(24 / 25)
+    n = df.where("id = 5").select(l2_norm("a").alias("n"), dot("a", "b").alias("d")).first()
+    assert (n["n"], n["d"]) == (5.0, 24.0)
+
+
+def test_cosine_unequal_lengths_raise(spark):
+    df = spark.createDataFrame([([1.0, 2.0], [1.0])], "a array<double>, b array<double>")
+    with pytest.raises(Exception):
+        df.select(cosine("a", "b")).collect()
+
+
+def test_score_label_and_decode(spark):
+    df = spark.createDataFrame([(0.38570717319174086, "[0.5, -2e-3]"), (0.2880543051768198, "not a list")], "s double, v string")
+    got = df.select(score_label("s").alias("l"), decode_vector("v").alias("v")).collect()
+    assert got[0]["l"] == "0.386" and got[1]["l"] == "0.288"
+    assert got[0]["v"] == [0.5, -0.002] and got[1]["v"] is None
+
+
+def test_hashing_embedder_counts(spark):
+    emb = HashingEmbedder(dim=16)
+    df = spark.createDataFrame([(1, "a b a  A\tc"), (2, "")], "id long, text string")
+    sparse = {(r["id"], r["bucket"]): r["tf"] for r in emb.sparse(df, ["id"], "text").collect()}
+    arr = {r["id"]: r["vec"] for r in emb.embed(df, ["id"], "text").collect()}
+    assert sorted(arr[1]) == sorted(arr[1]) and len(arr[1]) == 5 and arr[2] == []
+    assert sum(v for (i, _), v in sparse.items() if i == 1) == 5
+    sq = df.select("id", sum_sq_counts(emb.buckets("text")).alias("sq")).collect()
+    want = {i: float(sum(v * v for (j, _), v in sparse.items() if j == i)) for i in (1, 2)}
+    assert {r["id"]: r["sq"] for r in sq} == want
+
+
+def _brute(qv, cv, k, exclude_self=False):
+    """Brute-force top-k by (round(sim, 9) desc, id asc) over dense numpy rows."""
+    out = {}
+    for qi, q in qv.items():
+        cand = []
+        for ci, c in cv.items():
+            if exclude_self and ci == qi:
+                continue
+            nq, nc = np.linalg.norm(q), np.linalg.norm(c)
+            if nq == 0 or nc == 0:
+                continue
+            s = float(q @ c / (nq * nc))
+            cand.append((-round(s, 9), ci, s))
+        cand.sort()
+        out[qi] = [(ci, s) for _, ci, s in cand[:k]]
+    return out
+
+
+def _counts(buckets, dim):
+    v = np.zeros(dim)
+    for b in buckets:
+        v[b] += 1
+    return v
+
+
+@pytest.mark.parametrize("k,block_bytes", [(1, 64 << 20), (3, 64 << 20), (2, 200)])
+def test_hashed_topk_matches_brute_force(spark, k, block_bytes):
+    dim = 32
+    emb = HashingEmbedder(dim=dim)
+    words = "alpha beta gamma delta eps zeta eta theta iota kappa lambda mu".split()
+    docs = [(i, " ".join(words[(i * j) % len(words)] for j in range(1, 2 + i % 7))) for i in range(40)]
+    docs.append((40, docs[3][1]))  # exact copy: a tie broken by the lower id
+    qs = [(100 + i, " ".join(words[(i + j) % len(words)] for j in range(3))) for i in range(9)] + [(200, "")]
+    cdf = spark.createDataFrame(docs, "doc_id long, text string").repartition(4)
+    qdf = spark.createDataFrame(qs, "qid long, text string")
+    got = top_k_matches(emb.embed(qdf, ["qid"], "text"), "qid", emb.embed(cdf, ["doc_id"], "text"), ["doc_id"],
+                        kind="hashed", k=k, dim=dim, block_bytes=block_bytes, with_rank=True).collect()
+    cvec = {r["doc_id"]: _counts(r["vec"], dim) for r in emb.embed(cdf, ["doc_id"], "text").collect()}
+    qvec = {r["qid"]: _counts(r["vec"], dim) for r in emb.embed(qdf, ["qid"], "text").collect()}
+    want = _brute(qvec, cvec, k)
+    by_q = {}
+    for r in sorted(got, key=lambda r: (r["qid"], r["rank"])):
+        by_q.setdefault(r["qid"], []).append((r["doc_id"], r["similarity"]))
+    for qi, exp in want.items():
+        assert [d for d, _ in by_q.get(qi, [])] == [d for d, _ in exp], qi
+        for (_, s1), (_, s2) in zip(by_q.get(qi, []), exp):
+            assert s1 == pytest.approx(s2, abs=1e-12)
+    assert 200 not in by_q  # a query sharing no bucket gets no match
+
+
+def test_dense_topk_exclude_self(spark):
+    rng = np.random.default_rng(7)
+    vecs = {i: rng.normal(size=8) for i in range(30)}
+    vecs[30] = np.zeros(8)
+    vecs[31] = vecs[4].copy()
+    rows = [(i, [float(x) for x in v]) for i, v in vecs.items()]
+    df = spark.createDataFrame(rows, "vec_id long, vec array<double>").repartition(3)
+    got = top_k_matches(df, "vec_id", df.select(F.col("vec_id").alias("best_id"), "vec"), ["best_id"],
+                        kind="dense", k=2, exclude_self=True, with_rank=True).collect()
+    want = _brute(vecs, vecs, 2, exclude_self=True)
+    by_q = {}
+    for r in sorted(got, key=lambda r: (r["vec_id"], r["rank"])):
+        by_q.setdefault(r["vec_id"], []).append(r["best_id"])
+    assert by_q == {q: [c for c, _ in v] for q, v in want.items() if v}
+    assert by_q[4][0] == 31 and by_q[31][0] == 4
+
+
+def test_dense_mixed_dimensions_raise(spark):
+    q = spark.createDataFrame([(1, [1.0, 0.0])], "id long, vec array<double>")
+    c = spark.createDataFrame([(2, [1.0, 0.0, 0.0])], "cid long, vec array<double>")
+    with pytest.raises(Exception):
+        top_k_matches(q, "id", c, ["cid"], kind="dense").collect()
+
+
+def test_topk_rejects_k0(spark):
+    q = spark.createDataFrame([(1, [1.0])], "id long, vec array<double>")
+    with pytest.raises(ValueError):
+        top_k_matches(q, "id", q.withColumnRenamed("id", "cid"), ["cid"], kind="dense", k=0)
