@@ -9,6 +9,11 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from weft.functions.text import nonblank_lines, tokens
+from weft.session import broadcast_if_small
+
+# Section titles and steps are broadcast only up to this many rows (checked);
+# a larger knowledge base is joined with a shuffle instead.
+MAX_BROADCAST_ROWS = 1_000_000
 
 
 def parse_sections(knowledge: DataFrame, text_col: str = "text", id_col: str = "kid") -> DataFrame:
@@ -27,14 +32,15 @@ def parse_sections(knowledge: DataFrame, text_col: str = "text", id_col: str = "
 def plan_steps(prompts: DataFrame, sections: DataFrame, id_col: str = "prompt_id", text_col: str = "text") -> DataFrame:
     """Output ``(prompt_id, step_idx, step)``; step text keeps its numbering.
 
-    The section dimension is small and broadcast; prompt tokens meet title
-    tokens in an equi-join on the token (a hot token only repeats a broadcast
-    lookup), then a per-prompt argmax picks the section."""
+    The section dimension is usually small and then broadcast (after a size
+    check); prompt tokens meet title tokens in an equi-join on the token (a hot
+    token only repeats a broadcast lookup), then a per-prompt argmax picks the
+    section."""
     titles = sections.select("kid", "section_idx", "title").distinct()
     title_tok = titles.select("kid", "section_idx", F.explode(F.array_distinct(tokens("title"))).alias("tok"))
     p_tok = prompts.select(id_col, F.explode(F.array_distinct(tokens(text_col))).alias("tok"))
-    shared = p_tok.join(F.broadcast(title_tok), "tok").groupBy(id_col, "kid", "section_idx").agg(F.count(F.lit(1)).alias("score"))
+    shared = p_tok.join(broadcast_if_small(title_tok, MAX_BROADCAST_ROWS), "tok").groupBy(id_col, "kid", "section_idx").agg(F.count(F.lit(1)).alias("score"))
     w = Window.partitionBy(id_col).orderBy(F.desc("score"), "kid", "section_idx")
     best = shared.withColumn("rn", F.row_number().over(w)).where("rn = 1").select(id_col, "kid", "section_idx")
     steps = sections.select("kid", "section_idx", F.col("step_no").cast("int").alias("step_idx"), "step")
-    return best.join(F.broadcast(steps), ["kid", "section_idx"]).select(id_col, "step_idx", "step")
+    return best.join(broadcast_if_small(steps, MAX_BROADCAST_ROWS), ["kid", "section_idx"]).select(id_col, "step_idx", "step")
