@@ -72,6 +72,8 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     the session can run at once (e.g. one small file). On a cluster reading
     many files this is a no-op, so no shuffle is added where the scan already
     parallelises."""
+    if df.isStreaming:
+        return df  # micro-batches are planned by the stream source
     want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() < want:
         return df.repartition(want)
