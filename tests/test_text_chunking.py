@@ -131,3 +131,11 @@ def test_tokens_and_verdicts(spark):
     assert got == {1: True, 2: True, 3: True, 4: False, 5: False, 6: False, 7: False, 8: True}
     t = spark.createDataFrame([("  Hello\tWORLD  hello ",)], "t string").select(tokens("t").alias("x")).first()["x"]
     assert t == ["hello", "world", "hello"]
+
+
+def test_tokens_of_normalised_text_skip_c1(spark, knowledge_text):
+    """Chunk text is already normalised: the short-cut tokeniser gives the same tokens."""
+    df = spark.createDataFrame([(0, knowledge_text + "  Ünïcode TAIL ")], "doc_id long, text string")
+    ch = chunk(df, "text", ["doc_id"], 37, 11)
+    bad = ch.where(tokens("text") != tokens("text", normalized=True)).count()
+    assert ch.count() > 100 and bad == 0

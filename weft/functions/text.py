@@ -45,10 +45,13 @@ def nonblank_lines(col: Column | str) -> Column:
     return F.filter(stripped, lambda x: x != F.lit(""))
 
 
-def tokens(col: Column | str) -> Column:
+def tokens(col: Column | str, normalized: bool = False) -> Column:
     """Lower-cased tokens of the normalised text, split on the single space
-    left by C1. Empty text yields an empty array."""
-    norm = F.lower(normalize_ws(col))
+    left by C1. Empty text yields an empty array. ``normalized=True`` skips the
+    C1 pass for text that is already normalised (e.g. chunk text): its only
+    whitespace is single U+0020 spaces, at most one at each end, which the
+    empty-token filter drops, so the tokens are the same."""
+    norm = F.lower(_c(col) if normalized else normalize_ws(col))
     return F.filter(F.split(norm, " "), lambda x: x != F.lit(""))
 
 
