@@ -139,3 +139,13 @@ def test_tokens_of_normalised_text_skip_c1(spark, knowledge_text):
     ch = chunk(df, "text", ["doc_id"], 37, 11)
     bad = ch.where(tokens("text") != tokens("text", normalized=True)).count()
     assert ch.count() > 100 and bad == 0
+
+
+def test_chunk_text_by_window_equals_generated_chunks(spark, knowledge_text):
+    from weft.operators.chunking import chunk_text
+
+    df = spark.createDataFrame([(0, knowledge_text), (1, "short"), (2, "")], "doc_id long, text string")
+    gen = chunk(df, "text", ["doc_id"], 500, 200)
+    cut = gen.select("doc_id", "chunk_id", "text").join(df.withColumnRenamed("text", "raw"), "doc_id").where(
+        chunk_text(F.col("raw"), F.col("chunk_id"), 500, 200) != F.col("text"))
+    assert gen.count() == 15 and cut.count() == 0

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from weft.functions.text import nonblank_lines, normalize_ws
@@ -61,6 +61,16 @@ def chunk(
     )
 
 
+def chunk_text(text: Column, chunk_id: Column, size: int, overlap: int) -> Column:
+    """The text of chunk ``chunk_id`` of ``text`` (same windows as ``chunk``),
+    without generating the other chunks: ``[k*step, min(k*step + size, L))``
+    of the C1-normalised text."""
+    _check_window(size, overlap)
+    t = normalize_ws(text)
+    start = chunk_id * F.lit(size - overlap)
+    return F.substring(t, start + 1, F.least(start + F.lit(size), F.length(t)) - start)
+
+
 def extract_steps(
     df: DataFrame, text_col: str = "text", id_cols: Sequence[str] = ("id",)
 ) -> DataFrame:
