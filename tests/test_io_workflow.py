@@ -111,3 +111,23 @@ def test_write_plans_text(spark, tmp_path):
     write_plans(df, str(tmp_path / "plans"), fmt="text")
     assert spark.read.text(str(tmp_path / "plans")).first()["value"] == "REPORT"
     assert os.path.isdir(str(tmp_path / "plans"))
+
+
+def test_plan_steps_with_model_golden(spark):
+    """W2 through a model: the recorded planner answer becomes the 8 recorded steps."""
+    from weft.operators.completion import CallableCompleter
+    from weft.plans.planning import plan_steps_with_model
+
+    answer = "\n".join([
+        "1. Crack eggs into a bowl", "2. Beat eggs with a fork until mixed", "",
+        "3. Heat pan with butter or oil over medium heat", "4. Pour egg mixture into pan",
+        "5. Stir gently as eggs cook", "6. Remove from heat when eggs are just set but still moist",
+        "7. Season with salt and pepper", "8. Serve immediately", ""])
+
+    def factory():
+        return lambda batch: [answer if "This is your knowledge:\n\n# Fried Egg" in m[0][1] else "" for m in batch]
+
+    prompts = spark.createDataFrame([(1, "One morning I wanted to have scrambled eggs")], "prompt_id long, text string")
+    got = plan_steps_with_model(prompts, P.EGG_KNOWLEDGE, CallableCompleter(factory)).orderBy("step_idx").collect()
+    assert [r["step_idx"] for r in got] == list(range(1, 9))
+    assert got[0]["step"] == "1. Crack eggs into a bowl" and got[7]["step"] == "8. Serve immediately"

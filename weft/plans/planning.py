@@ -44,3 +44,19 @@ def plan_steps(prompts: DataFrame, sections: DataFrame, id_col: str = "prompt_id
     best = shared.withColumn("rn", F.row_number().over(w)).where("rn = 1").select(id_col, "kid", "section_idx")
     steps = sections.select("kid", "section_idx", F.col("step_no").cast("int").alias("step_idx"), "step")
     return best.join(broadcast_if_small(steps, MAX_BROADCAST_ROWS), ["kid", "section_idx"]).select(id_col, "step_idx", "step")
+
+
+def plan_steps_with_model(
+    prompts: DataFrame, knowledge, completer, id_col: str = "prompt_id", text_col: str = "text"
+) -> DataFrame:
+    """W2 as the reference runs it: the R8 planner prompt (``knowledge`` is a
+    column or a fixed text) goes to ``completer``; the answer is split into
+    ordered steps by G2. Output ``(prompt_id, step_idx, step)``."""
+    from weft.functions import prompts as R
+    from weft.operators.chunking import extract_steps
+    from weft.operators.completion import complete
+
+    know = F.lit(knowledge) if isinstance(knowledge, str) else knowledge
+    asked = prompts.select(id_col, R.planner(know, F.col(text_col)).alias("messages"))
+    answered = complete(asked, completer).select(id_col, "response")
+    return extract_steps(answered, "response", [id_col])
