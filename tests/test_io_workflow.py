@@ -131,3 +131,11 @@ def test_plan_steps_with_model_golden(spark):
     got = plan_steps_with_model(prompts, P.EGG_KNOWLEDGE, CallableCompleter(factory)).orderBy("step_idx").collect()
     assert [r["step_idx"] for r in got] == list(range(1, 9))
     assert got[0]["step"] == "1. Crack eggs into a bowl" and got[7]["step"] == "8. Serve immediately"
+
+
+def test_parse_sections_edges(spark):
+    text = "preamble line\n\n  # First  \n a \n\n b\n# Empty\n#\n# \n# Last\n  c  \n"
+    got = parse_sections(spark.createDataFrame([(7, text)], "kid int, text string")).orderBy("section_idx", "step_no").collect()
+    # '#' and '# ' (stripped to '#') are step lines, not headings; 'Empty' has them as steps
+    assert [(r["section_idx"], r["title"], r["step_no"], r["step"]) for r in got] == [
+        (1, "First", 1, "a"), (1, "First", 2, "b"), (2, "Empty", 1, "#"), (2, "Empty", 2, "#"), (3, "Last", 1, "c")]

@@ -18,15 +18,23 @@ MAX_BROADCAST_ROWS = 1_000_000
 
 def parse_sections(knowledge: DataFrame, text_col: str = "text", id_col: str = "kid") -> DataFrame:
     """``(kid, section_idx, title, step_no, step)`` from text where ``# Title``
-    lines open sections and the other non-blank lines are their steps, in order."""
-    lines = knowledge.select(id_col, F.posexplode(nonblank_lines(F.col(text_col))).alias("pos", "line"))
-    is_head = F.col("line").startswith("# ")
-    w = Window.partitionBy(id_col).orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
-    tagged = lines.withColumn("section_idx", F.sum(is_head.cast("int")).over(w))
-    heads = tagged.where(is_head).select(id_col, "section_idx", F.trim(F.substring("line", 3, 1 << 20)).alias("title"))
-    steps = tagged.where(~is_head & (F.col("section_idx") > 0)).withColumn(
-        "step_no", F.row_number().over(Window.partitionBy(id_col, "section_idx").orderBy("pos")))
-    return steps.join(heads, [id_col, "section_idx"]).select(id_col, "section_idx", "title", "step_no", F.col("line").alias("step"))
+    lines open sections and the other non-blank lines are their steps, in order.
+
+    Narrow: a knowledge text is one row, so its sections are cut inside the
+    row (stripped non-blank lines rejoined, split before every heading line)
+    and exploded twice; no window, join or shuffle. Lines before the first
+    heading and headings without steps yield no rows."""
+    joined = F.concat(F.lit("\n"), F.array_join(nonblank_lines(F.col(text_col)), "\n"))
+    parts = knowledge.select(id_col, F.posexplode(F.split(joined, "\n# ")).alias("section_idx", "body"))
+    body_lines = F.split("body", "\n")
+    secs = parts.where(F.col("section_idx") > 0).select(
+        id_col,
+        F.col("section_idx").cast("long").alias("section_idx"),
+        F.trim(F.element_at(body_lines, 1)).alias("title"),
+        F.slice(body_lines, 2, 1 << 30).alias("_steps"),
+    )
+    return secs.select(id_col, "section_idx", "title", F.posexplode("_steps").alias("step_no", "step")).select(
+        id_col, "section_idx", "title", (F.col("step_no") + 1).cast("int").alias("step_no"), "step")
 
 
 def plan_steps(prompts: DataFrame, sections: DataFrame, id_col: str = "prompt_id", text_col: str = "text") -> DataFrame:
@@ -36,7 +44,7 @@ def plan_steps(prompts: DataFrame, sections: DataFrame, id_col: str = "prompt_id
     check); prompt tokens meet title tokens in an equi-join on the token (a hot
     token only repeats a broadcast lookup), then a per-prompt argmax picks the
     section."""
-    titles = sections.select("kid", "section_idx", "title").distinct()
+    titles = sections.where(F.col("step_no") == 1).select("kid", "section_idx", "title")
     title_tok = titles.select("kid", "section_idx", F.explode(F.array_distinct(tokens("title"))).alias("tok"))
     p_tok = prompts.select(id_col, F.explode(F.array_distinct(tokens(text_col))).alias("tok"))
     shared = p_tok.join(broadcast_if_small(title_tok, MAX_BROADCAST_ROWS), "tok").groupBy(id_col, "kid", "section_idx").agg(F.count(F.lit(1)).alias("score"))
