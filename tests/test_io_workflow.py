@@ -94,7 +94,7 @@ def test_workflow_chain_carries_previous_result(spark):
     projects = spark.createDataFrame([(1, "Spec one. As a clerk, I want mail sorted so that I save time."),
                                       (2, "Spec two.")], "project_id long, spec string")
     steps = spark.createDataFrame(
-        [(1, 1, "Define the user stories"), (1, 2, "   "), (1, 3, "Define the product features"),
+        [(1, 1, "Define the user stories"), (1, 2, "  \u3000 "), (1, 3, "Define the product features"),
          (2, 1, "Define the engineering tasks")], "project_id long, step_idx int, step string")
     rules = {k: Rule("anything non-empty", lambda r: F.length(r) > 0) for k in ("product_manager", "program_manager", "development_engineer")}
     plans, results = run_workflow(projects, steps, P.WORKFLOW_PROMPT, P.job_routes(spark), P.job_agents(spark), rules)
