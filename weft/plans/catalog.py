@@ -29,7 +29,7 @@ from weft.operators.scoring import top_k_matches
 from weft.plans import presets as P
 from weft.plans.planning import parse_sections, plan_steps
 from weft.plans.workflow import rag_answer, rag_top_chunks, route_and_respond, run_workflow
-from weft.session import broadcast_if_small, scratch_path, spread
+from weft.session import broadcast_if_small, cut_lineage, scratch_path, spread
 from weft.sources.io import read_chunks_csv, read_whole_text, write_chunks_csv
 
 # Parameters of the reference's own runs.
@@ -87,7 +87,8 @@ def label_centroids(emb: DataFrame) -> DataFrame:
 
 def cosine_pairs(spark, d):
     emb = table(spark, d, "embeddings")
-    cent = broadcast_if_small(label_centroids(emb), 100_000)
+    # one scan for the centroids, written once: the size check and the join read the small table
+    cent = broadcast_if_small(cut_lineage(label_centroids(emb), "centroids"), 100_000)
     return emb.join(cent, "label").select(
         F.col("vec_id").alias("left_id"), F.col("label").alias("right_id"),
         F.round(cosine("embedding", "centroid"), 6).alias("similarity"))
@@ -105,7 +106,8 @@ def centroid_routes(emb: DataFrame, split_routers: bool = False) -> tuple[DataFr
     """Routes whose vectors are the label centroids; route_pos = label.
     With ``split_routers`` labels are split over two routers by parity and the
     odd router's descriptions are blank (so its prompts fall back)."""
-    cent = label_centroids(emb)
+    # one scan of the vectors; route checks, the broadcast and the agents read the written result
+    cent = cut_lineage(label_centroids(emb), "centroids")
     lab = F.col("label")
     router = (lab % 2).cast("long") if split_routers else F.lit(0).cast("long")
     desc = F.when(F.lit(split_routers) & (lab % 2 == 1), F.lit("")).otherwise(F.concat(F.lit("Vectors labelled "), lab.cast("string")))
