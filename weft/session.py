@@ -99,12 +99,48 @@ def ship_package(spark: SparkSession) -> None:
     _SHIPPED.add(key)
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
+# Bound on the bytes of any table this library broadcasts (checked, not assumed).
+MAX_BROADCAST_BYTES = 256 << 20
+
+
+def row_bytes(df: DataFrame):
+    """An upper-bound estimate of one row's payload: string and binary
+    lengths, 8 bytes per array element or scalar (nested values count their
+    elements once), as a column."""
+    from pyspark.sql import functions as F
+    from pyspark.sql import types as T
+
+    parts = []
+    for f in df.schema.fields:
+        c = F.col(f"`{f.name}`")
+        if isinstance(f.dataType, (T.StringType, T.BinaryType)):
+            parts.append(F.coalesce(F.octet_length(c), F.lit(0)))
+        elif isinstance(f.dataType, (T.ArrayType, T.MapType)):
+            parts.append(F.coalesce(F.size(c), F.lit(0)) * 8 + 16)
+        else:
+            parts.append(F.lit(8))
+    total = F.lit(0).cast("long")
+    for p_ in parts:
+        total = total + p_.cast("long")
+    return total
+
+
+def table_size(df: DataFrame) -> tuple[int, int]:
+    """(rows, estimated bytes) of ``df`` with one aggregate job."""
+    from pyspark.sql import functions as F
+
+    r = df.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(row_bytes(df)), F.lit(0)).alias("b")).first()
+    return int(r["n"]), int(r["b"])
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int, max_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
     """Broadcast-hint ``df`` only after checking it has at most ``max_rows``
-    rows; above that, leave it to a shuffle join. The check is one count job
-    over the (small, usually aggregated) side."""
+    rows and ``max_bytes`` estimated bytes; above that, leave it to a shuffle
+    join. The check is one aggregate job over the (small, usually aggregated
+    or materialised) side."""
     from pyspark.sql import functions as F
 
-    if df.count() <= max_rows:
+    n, b = table_size(df)
+    if n <= max_rows and b <= max_bytes:
         return F.broadcast(df)
     return df
