@@ -313,10 +313,86 @@ WITH kl AS (SELECT unnest(range(1, len(l) + 1)) AS pos, unnest(l) AS line
      b AS (SELECT prompt_id, section_idx FROM (SELECT *, row_number() OVER (PARTITION BY prompt_id ORDER BY score DESC, section_idx) AS rn FROM sc) WHERE rn = 1)
 SELECT prompt_id, step_idx::INTEGER AS step_idx, step FROM b JOIN st USING (section_idx)"""
 
+    q["workflow_plan"] = _workflow_sql()
+
     # sources and sinks
     q["csv_round_trip"] = f"WITH {CHUNKS} SELECT doc_id, chunk_id, text FROM chunks"
     q["whole_text"] = "SELECT lang, sum(length(text) + 1)::BIGINT AS chars FROM documents GROUP BY lang"
     return q
 
 
+def _field(x: str, label: str) -> str:
+    return f"trim(regexp_extract({x}, '(?m)^{label}:[ ]*([^' || chr(10) || ']*)', 1))"
+
+
+def _valid_labels(x: str, labels) -> str:
+    return "coalesce(" + " AND ".join(f"{_field(x, lab)} <> ''" for lab in labels) + ", false)"
+
+
+def _workflow_sql() -> str:
+    """W1 for three fixed steps per project (orders as projects): each step
+    renders R9 from the previous result, routes by hashed cosine, answers
+    extractively from the agent's knowledge plus the spec, and refines that
+    answer in closed form under the agent's rule; R10 assembles the plan."""
+    m = P.MAX_INTERACTIONS
+    rules = {
+        "product_manager": lambda x: f"coalesce(regexp_matches({x}, '{V.STORY_PATTERN}'), false)",
+        "program_manager": lambda x: _valid_labels(x, V.FEATURE_LABELS),
+        "development_engineer": lambda x: _valid_labels(x, V.TASK_LABELS),
+    }
+    agents = {a: k for a, k in (("product_manager", R.SPEC_KNOWLEDGE_HEAD), ("program_manager", P.PGM_KNOWLEDGE),
+                                  ("development_engineer", P.DEV_KNOWLEDGE))}
+    rt = ", ".join(f"({i}, {lit(n)}, {lit(d)}, {lit(a)}, {lit(agents[a])})" for i, (n, d, a) in enumerate(P.JOB_ROUTES))
+    nl2 = "chr(10) || chr(10)"
+    ctes = [f"""
+  rt(route_pos, name, description, agent_id, knowledge) AS (VALUES {rt}),
+  rb AS (SELECT route_pos, {BUCKET('tok')} AS b, count(*)::DOUBLE AS tf
+         FROM (SELECT route_pos, unnest({TOKENS('description')}) AS tok FROM rt) GROUP BY ALL),
+  rn AS (SELECT route_pos, sqrt(sum(tf * tf)) AS norm FROM rb GROUP BY ALL),
+  cur0 AS (SELECT o.o_orderkey AS project_id, {lit(P.WORKFLOW_PROMPT)} AS cur,
+                  'Email Router rollout for ' || coalesce(c.c_name, 'an unknown customer') || '. '
+                  || 'As a ' || lower(coalesce(c.c_mktsegment, 'retail')) || ' support agent, I want order '
+                  || o.o_orderkey::VARCHAR || ' emails routed automatically so that ' || lower(o.o_orderpriority)
+                  || ' requests are answered on time. '
+                  || 'The features group classification, routing and response suggestions. '
+                  || 'The engineering tasks build the connectors, the classifier and the dashboard.' AS spec
+           FROM orders o LEFT JOIN customer c ON o.o_custkey = c.c_custkey)"""]
+    rule_case = "CASE f.agent_id " + " ".join(f"WHEN {lit(a)} THEN {fn('c.sent')}" for a, fn in rules.items()) + " ELSE false END"
+    for k, step in enumerate(C.WORKFLOW_STEPS, start=1):
+        ctes.append(f"""
+  p{k} AS (SELECT project_id, {lit(R.STEP_1)} || cur || {lit(R.STEP_2 + step + R.STEP_3)} AS prompt, spec FROM cur{k - 1}),
+  pb{k} AS (SELECT project_id, {BUCKET('tok')} AS b, count(*)::DOUBLE AS tf
+            FROM (SELECT project_id, unnest({TOKENS('prompt')}) AS tok FROM p{k}) GROUP BY ALL),
+  pn{k} AS (SELECT project_id, sum(tf * tf) AS sq FROM pb{k} GROUP BY ALL),
+  d{k} AS (SELECT pb.project_id, rb.route_pos, sum(pb.tf * rb.tf) AS dot FROM pb{k} pb JOIN rb USING (b) GROUP BY ALL),
+  s{k} AS (SELECT p.project_id, rn.route_pos, coalesce(d.dot, 0) / nullif(sqrt(coalesce(pn.sq, 0)) * rn.norm, 0) AS sim
+           FROM p{k} p CROSS JOIN rn LEFT JOIN pn{k} pn ON pn.project_id = p.project_id
+           LEFT JOIN d{k} d ON d.project_id = p.project_id AND d.route_pos = rn.route_pos),
+  b{k} AS (SELECT project_id, route_pos FROM (
+             SELECT *, row_number() OVER (PARTITION BY project_id ORDER BY sim DESC, route_pos) AS rk FROM s{k} WHERE sim > -1)
+           WHERE rk = 1),
+  src{k} AS (SELECT p.project_id, p.prompt, b.route_pos, rt.agent_id, concat_ws({nl2}, rt.knowledge, p.spec) AS knowledge
+             FROM p{k} p LEFT JOIN b{k} b USING (project_id) LEFT JOIN rt USING (route_pos)),
+  a{k} AS ({extractive('project_id', f'src{k}', 'prompt', 'knowledge')}),
+  f{k} AS (SELECT s.project_id, s.route_pos, s.agent_id, coalesce(a.sent, '') AS first, s.knowledge
+           FROM src{k} s LEFT JOIN a{k} a ON a.project_id = s.project_id AND a.rk = 1),
+  r{k} AS ({extractive('project_id', f'(SELECT * FROM f{k} WHERE route_pos IS NOT NULL)', 'first', 'knowledge')}),
+  ok{k} AS (SELECT c.project_id, min(c.rk) AS first_ok FROM r{k} c JOIN f{k} f USING (project_id)
+            WHERE c.rk <= {m} AND {rule_case} GROUP BY ALL),
+  n{k} AS (SELECT project_id, max(n) AS n FROM r{k} GROUP BY ALL),
+  res{k} AS (SELECT f.project_id,
+                    CASE WHEN f.route_pos IS NULL THEN {lit(FALLBACK_RESPONSE)} ELSE coalesce(c.sent, '') END AS result
+             FROM f{k} f LEFT JOIN ok{k} o USING (project_id) LEFT JOIN n{k} n USING (project_id)
+             LEFT JOIN r{k} c ON c.project_id = f.project_id AND c.rk = least(coalesce(o.first_ok, {m}), n.n)),
+  cur{k} AS (SELECT r.project_id, r.result AS cur, p.spec FROM res{k} r JOIN p{k} p USING (project_id))""")
+    banner = R.BANNER
+    h1 = lit("\n" + banner + "\n" + R.REPORT_SECTIONS[0] + "\n" + banner + "\n")
+    h2 = lit("\n\n" + banner + "\n" + R.REPORT_SECTIONS[1] + "\n" + banner + "\n")
+    h3 = lit("\n\n" + banner + "\n" + R.REPORT_SECTIONS[2] + "\n" + banner + "\n")
+    return "WITH " + ",".join(ctes) + f"""
+SELECT c.project_id, r1.result AS user_stories, r2.result AS product_features, r3.result AS engineering_tasks,
+       {h1} || r1.result || {h2} || r2.result || {h3} || r3.result || chr(10) AS report
+FROM cur0 c JOIN res1 r1 USING (project_id) JOIN res2 r2 USING (project_id) JOIN res3 r3 USING (project_id)"""
+
+
 ORACLE_SQL = _sql()
