@@ -18,7 +18,6 @@ from weft.operators.completion import CallableCompleter, ExtractiveCompleter, Ru
 from weft.operators.embedding import HashingEmbedder
 from weft.operators.refine import answer_then_refine, refine
 from weft.operators.routing import (
-    AGENT_SCHEMA,
     FALLBACK_RESPONSE,
     attach_agent,
     best_route,
