@@ -149,3 +149,18 @@ def test_chunk_text_by_window_equals_generated_chunks(spark, knowledge_text):
     cut = gen.select("doc_id", "chunk_id", "text").join(df.withColumnRenamed("text", "raw"), "doc_id").where(
         chunk_text(F.col("raw"), F.col("chunk_id"), 500, 200) != F.col("text"))
     assert gen.count() == 15 and cut.count() == 0
+
+
+def test_unicode_whitespace_parity_random(spark):
+    """Property: C1 and C2 in Spark equal Python's ``re.sub(r'\\s+', ' ', t).strip()``
+    and ``str.strip()`` on random text over all whitespace code points and
+    near misses (zero-width space, U+180E, BOM are not whitespace)."""
+    import random
+
+    rng = random.Random(42)
+    alphabet = PY_WS + ["a", "B", "é", "😀", "​", "᠎", "﻿", ".", "-"]
+    texts = ["".join(rng.choice(alphabet) for _ in range(rng.randint(0, 30))) for _ in range(300)]
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, t string")
+    got = {r["id"]: (r["n"], r["s"]) for r in df.select("id", normalize_ws("t").alias("n"), ustrip("t").alias("s")).collect()}
+    for i, t in enumerate(texts):
+        assert got[i] == (py_normalize(t), t.strip()), repr(t)
