@@ -55,7 +55,8 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder under the shared checkpoint folder for written
     intermediate tables (never a machine-local temp folder on a cluster)."""
     base = checkpoint_dir(spark)
-    return os.path.join(base, "tables", f"{name}-{uuid.uuid4().hex[:12]}")
+    # grouped per application: one folder to drop once the run's results are used
+    return os.path.join(base, "tables", spark.sparkContext.applicationId, f"{name}-{uuid.uuid4().hex[:12]}")
 
 
 def cut_lineage(df: DataFrame, name: str = "stage") -> DataFrame:
