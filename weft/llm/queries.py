@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weft.llm import pfor
+from weft.llm import packing, pfor, simhash
 from weft.llm.common import read_table
 from weft.session import scratch_path
 
@@ -20,7 +20,19 @@ def op1_pfor_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_column_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    packed = packing.pack_documents(read_table(spark, sf_dir, "documents"), with_ids=False)
+    return packed.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
+
+
+def op4_simhash_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(read_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
 QUERIES = {
     "op1_pfor_ids": op1_pfor_ids,
+    "op3_column_packing": op3_column_packing,
+    "op4_simhash_blocks": op4_simhash_blocks,
 }
 ORACLE_SQL: dict[str, str] = {}
