@@ -12,6 +12,7 @@ from __future__ import annotations
 import re
 import struct
 
+import numpy as np
 from pyspark.sql import SparkSession
 
 DEFAULT_TOKENIZER = "word_bpe_49k.json"
@@ -130,6 +131,28 @@ class Encoder:
         return _packed(self.tokenizer.encode(text, add_special_tokens=False).ids)
 
 
+    def groups(self, text: str | None):
+        """Runs of neighbouring tokens of the whole text: first and one past
+        the last character, number of tokens, and a function that gives the
+        character spans of the tokens of run ``i``. Runs are the word parts
+        where those are known, else single tokens."""
+        if self.words is not None and _PLAIN.fullmatch(text or ""):
+            lower, parts = (text or "").lower(), self.words.parts
+            found = list(_PARTS.finditer(lower))
+            starts = np.fromiter((m.start() for m in found), np.int64, len(found))
+            ends = np.fromiter((m.end() for m in found), np.int64, len(found))
+            counts = np.fromiter((len(parts[m.group()]) // 4 for m in found), np.int64, len(found))
+
+            def inside(i: int) -> list[tuple[int, int]]:
+                at = int(starts[i])
+                return [(at + a, at + b) for a, b in self.tokenizer.encode(found[i].group(), add_special_tokens=False).offsets]
+
+            return starts, ends, counts, inside
+        offsets = self.tokenizer.encode(text or "", add_special_tokens=False).offsets
+        spans = np.asarray(offsets, np.int64).reshape(-1, 2)
+        return spans[:, 0], spans[:, 1], np.ones(len(spans), np.int64), lambda i: [offsets[i]]
+
+
 _ENCODERS: dict[int, Encoder] = {}
 
 
