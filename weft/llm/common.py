@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
 #: Text units of one Arrow slice worked on at a time inside a task.
@@ -27,7 +28,7 @@ def text_slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_CHARS) ->
     """Row slices of ``batch`` whose ``column`` holds about ``limit`` bytes
     each, at least one row: bounds a task's scratch whatever the text lengths."""
     n = batch.num_rows
-    lengths = np.asarray(pa.compute.binary_length(batch.column(column)).fill_null(0).to_numpy(zero_copy_only=False), dtype=np.int64)
+    lengths = np.asarray(pc.binary_length(batch.column(column)).fill_null(0).to_numpy(zero_copy_only=False), dtype=np.int64)
     total, lo = np.cumsum(lengths), 0
     while lo < n:
         base = total[lo - 1] if lo else 0

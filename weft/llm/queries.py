@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weft.llm import packing, pfor, simhash, token_counts
+from weft.llm import packing, pfor, simhash, substring, token_counts
 from weft.llm.common import read_table
 from weft.session import scratch_path
 
@@ -30,6 +30,10 @@ def op4_simhash_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op7_window_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring.remove_repeats(read_table(spark, sf_dir, "documents")).drop("kept_text")
+
+
 def op10_section_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.section_counts(read_table(spark, sf_dir, "documents"))
 
@@ -38,6 +42,7 @@ QUERIES = {
     "op1_pfor_ids": op1_pfor_ids,
     "op3_column_packing": op3_column_packing,
     "op4_simhash_blocks": op4_simhash_blocks,
+    "op7_window_dedup": op7_window_dedup,
     "op10_section_tokens": op10_section_tokens,
 }
 ORACLE_SQL: dict[str, str] = {}
