@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceReader, InputPartition, WriterCommitMessage
 
-from weft.llm.common import texts
+from weft.llm.common import open_folder, texts
 from weft.llm.encoding import END_ID, broadcast_tokenizer, encoder
 from weft.session import ship_package
 
@@ -124,15 +124,6 @@ def decode_blocks(data: bytes) -> np.ndarray:
 # ---------------------------------------------------------------------------
 
 
-def _open(path: str):
-    """The file system of a folder named by path or URI, and the path in it."""
-    from pyarrow import fs
-
-    if path.startswith("file:/") and not path.startswith("file://"):
-        path = "file://" + path[len("file:") :]
-    return fs.FileSystem.from_uri(path)
-
-
 class FileWriter:
     """Streams documents to one file with bounded memory (beside 12 bytes a
     document and 8 a block for the footer)."""
@@ -248,7 +239,7 @@ class _Writer(DataSourceArrowWriter):
     def write(self, iterator) -> _Written:
         from pyspark import TaskContext
 
-        system, folder = _open(self.path)
+        system, folder = open_folder(self.path)
         system.create_dir(folder, recursive=True)
         part = TaskContext.get().partitionId()
         name = f"part-{part:06d}-{uuid.uuid4().hex}.pfor"
@@ -262,7 +253,7 @@ class _Writer(DataSourceArrowWriter):
         return _Written(part, name, len(file.docs), file.total)
 
     def commit(self, messages) -> None:
-        system, folder = _open(self.path)
+        system, folder = open_folder(self.path)
         system.create_dir(folder, recursive=True)
         done = sorted((m for m in messages if m is not None and m.docs), key=lambda m: m.partition)
         base, files = 0, []
@@ -281,7 +272,7 @@ class _Reader(DataSourceReader):
         self.path = path
 
     def partitions(self):
-        system, folder = _open(self.path)
+        system, folder = open_folder(self.path)
         with system.open_input_file(f"{folder}/{MANIFEST}") as f:
             files = json.loads(f.read())["files"]
         # a range of ids of a file; a document belongs to the range it starts in
@@ -291,7 +282,7 @@ class _Reader(DataSourceReader):
         schema = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("ids", pa.binary())])
         if not partition.name:
             return
-        system, folder = _open(self.path)
+        system, folder = open_folder(self.path)
         with system.open_input_file(f"{folder}/{partition.name}") as f:
             file = FileReader(f)
             a, b = np.searchsorted(file.first, [partition.lo, partition.hi])

@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weft.llm import packing, pfor, simhash, substring, token_counts
+from weft.llm import decontam, packing, permutation, pfor, simhash, substring, token_counts
 from weft.llm.common import read_table
 from weft.session import scratch_path
 
@@ -30,10 +30,19 @@ def op4_simhash_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op6_edit_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.contaminated(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
 def op7_window_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.remove_repeats(read_table(spark, sf_dir, "documents")).drop("kept_text")
 
 
+def op9_permutation_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = permutation.usable(read_table(spark, sf_dir, "embeddings"))
+    return permutation.search(permutation.build_index(vectors), vectors.where("vec_id % 20 = 0"))
+
+
 def op10_section_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.section_counts(read_table(spark, sf_dir, "documents"))
 
@@ -42,7 +51,9 @@ QUERIES = {
     "op1_pfor_ids": op1_pfor_ids,
     "op3_column_packing": op3_column_packing,
     "op4_simhash_blocks": op4_simhash_blocks,
+    "op6_edit_decontam": op6_edit_decontam,
     "op7_window_dedup": op7_window_dedup,
+    "op9_permutation_search": op9_permutation_search,
     "op10_section_tokens": op10_section_tokens,
 }
 ORACLE_SQL: dict[str, str] = {}
