@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weft.llm import decontam, packing, permutation, pfor, simhash, substring, token_counts
+from weft.llm import decontam, packing, permutation, pfor, simhash, substring, token_counts, toxicity
 from weft.llm.common import read_table
 from weft.session import scratch_path
 
@@ -38,6 +38,13 @@ def op7_window_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.remove_repeats(read_table(spark, sf_dir, "documents")).drop("kept_text")
 
 
+def op8_toxicity_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.train(docs, read_table(spark, sf_dir, "labels"))
+    scored = toxicity.score(docs, model)
+    return scored.select("doc_id", (toxicity.fold("doc_id") == 2).alias("held_out"), "score", "predicted")
+
+
 def op9_permutation_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = permutation.usable(read_table(spark, sf_dir, "embeddings"))
     return permutation.search(permutation.build_index(vectors), vectors.where("vec_id % 20 = 0"))
@@ -53,6 +60,7 @@ QUERIES = {
     "op4_simhash_blocks": op4_simhash_blocks,
     "op6_edit_decontam": op6_edit_decontam,
     "op7_window_dedup": op7_window_dedup,
+    "op8_toxicity_trees": op8_toxicity_trees,
     "op9_permutation_search": op9_permutation_search,
     "op10_section_tokens": op10_section_tokens,
 }
