@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weft.llm import decontam, packing, permutation, pfor, simhash, substring, token_counts, toxicity
+from weft.llm import decontam, html_text, packing, permutation, pfor, simhash, substring, token_counts, toxicity
 from weft.llm.common import read_table
 from weft.session import scratch_path
 
@@ -30,6 +30,10 @@ def op4_simhash_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op5_tag_path_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(read_table(spark, sf_dir, "pages"))
+
+
 def op6_edit_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.contaminated(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
 
@@ -58,6 +62,7 @@ QUERIES = {
     "op1_pfor_ids": op1_pfor_ids,
     "op3_column_packing": op3_column_packing,
     "op4_simhash_blocks": op4_simhash_blocks,
+    "op5_tag_path_text": op5_tag_path_text,
     "op6_edit_decontam": op6_edit_decontam,
     "op7_window_dedup": op7_window_dedup,
     "op8_toxicity_trees": op8_toxicity_trees,
