@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weft.llm import decontam, html_text, packing, permutation, pfor, simhash, substring, token_counts, toxicity
+from weft.llm import decontam, html_text, packing, permutation, pfor, pii, simhash, substring, token_counts, toxicity
 from weft.llm.common import read_table
 from weft.session import scratch_path
 
@@ -20,6 +20,12 @@ def op1_pfor_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_pii_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    counts = [F.size(f"base_spans.{k}").cast("long").alias(f"n_{k}") for k in pii.KINDS]
+    return found.select("doc_id", *counts, F.sha2(pii.spelled("base_spans"), 256).alias("base_sha256"), pii.spelled("all_spans").alias("spans"))
+
+
 def op3_column_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     packed = packing.pack_documents(read_table(spark, sf_dir, "documents"), with_ids=False)
     return packed.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
@@ -60,6 +66,7 @@ def op10_section_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_pfor_ids": op1_pfor_ids,
+    "op2_pii_spans": op2_pii_spans,
     "op3_column_packing": op3_column_packing,
     "op4_simhash_blocks": op4_simhash_blocks,
     "op5_tag_path_text": op5_tag_path_text,
