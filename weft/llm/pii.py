@@ -261,16 +261,16 @@ def spelled(spans: str) -> Column:
     return F.concat_ws(",", *[of(k) for k in KINDS])
 
 
-def redact(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """``docs`` with every span replaced by its kind in angle brackets; where
-    spans of different kinds overlap, the earlier one is replaced."""
-    found = find(docs, text_col)
+def redact(docs: DataFrame, text_col: str = "text", length_col: str | None = None) -> DataFrame:
+    """``docs`` with every span replaced by its kind in angle brackets (where
+    spans of different kinds overlap, the earlier one) and, in changed rows,
+    ``length_col`` set to the new text's code points."""
+    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(text_col).cast("string").alias("text"))
+    found = find(whole)
 
     def tag(kind: str) -> Column:
         return F.transform(F.col(f"all_spans.{kind}"), lambda c: F.struct(c["s"].alias("s"), c["e"].alias("e"), F.lit(f"<{kind}>").alias("k")))
 
-    tagged = F.concat(*[tag(k) for k in KINDS])
-    ordered = F.array_sort(tagged)
     start = F.struct(F.lit(0).cast("long").alias("t"), F.array().cast("array<string>").alias("a"))
 
     def cut(text: Column) -> Column:
@@ -278,8 +278,16 @@ def redact(docs: DataFrame, text_col: str = "text") -> DataFrame:
             between = F.substr(text, (a["t"] + 1).cast("int"), (c["s"] - a["t"]).cast("int"))
             return F.when(c["s"] < a["t"], a).otherwise(F.struct(c["e"].alias("t"), F.concat(a["a"], F.array(between, c["k"])).alias("a")))
 
-        return F.aggregate(ordered, start, step, lambda a: F.concat(F.array_join(a["a"], ""), F.substr(text, (a["t"] + 1).cast("int"))))
+        rest = lambda a: F.concat(F.array_join(a["a"], ""), F.substr(text, (a["t"] + 1).cast("int")))
+        return F.aggregate(F.array_sort(F.concat(*[tag(k) for k in KINDS])), start, step, rest)
 
-    text = F.col(text_col)
-    replaced = F.when(F.size(tagged) > 0, cut(text)).otherwise(text)
-    return found.withColumn(text_col, replaced).select(*docs.columns)
+    any_span = sum((F.size(f"all_spans.{k}") for k in KINDS), F.lit(0)) > 0
+    marked = found.select("row", any_span.alias("hit"), F.when(any_span, cut(F.col("text"))).otherwise(F.col("text")).alias("new"))
+
+    def column(c: str) -> Column:
+        old = F.col("row").getField(c)
+        if c == text_col:
+            return F.col("new").alias(c)
+        return (F.when(F.col("hit"), F.length("new").cast(docs.schema[c].dataType)).otherwise(old) if c == length_col else old).alias(c)
+
+    return marked.select(*[column(c) for c in docs.columns])

@@ -122,3 +122,15 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, distance: int = DIS
     found = components(close_pairs(nodes.where("node IS NOT NULL"), distance, dense))
     named = nodes.join(found, "node", "left").select("fp", F.coalesce("component", "node").alias("component_id"))
     return prints.join(named, "fp").select("doc_id", "fp", "component_id")
+
+
+def keep_one(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE, seed: int = SEED, dense: int = DENSE) -> DataFrame:
+    """``docs`` with one document of each component, the one with the smallest
+    doc_id; rows repeating its id are dropped too, rows with a null id stay."""
+    found = cut_lineage(near_duplicates(docs, shingle, distance, seed, dense).select("doc_id", "component_id").where("doc_id IS NOT NULL"), "components")
+    kept = docs.join(found.where("doc_id <> component_id").select("doc_id").distinct(), "doc_id", "left_anti").select(*docs.columns)
+    again = cut_lineage(found.groupBy("doc_id").count().where("count > 1").select("doc_id"), "repeated")
+    if again.isEmpty():
+        return kept
+    once = kept.join(again, "doc_id", "left_semi").select(*docs.columns).dropDuplicates(["doc_id"])
+    return kept.join(again, "doc_id", "left_anti").select(*docs.columns).unionByName(once)

@@ -241,20 +241,39 @@ def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) ->
 
 
 def score(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
-    """``docs`` with score (0 to 1) and predicted (1 from ``threshold`` on)."""
+    """``docs`` with score (0 to 1) and predicted (1 from ``threshold`` on);
+    columns of those names are replaced."""
     spark = docs.sparkSession
     ship_package(spark)
     shared = spark.sparkContext.broadcast(model)
+    docs = docs.drop("score", "predicted")
     kept = list(docs.columns)
 
     def task(batches):
-        model = shared.value
-        words = _Words(model.lexicon)
+        words = _Words(shared.value.lexicon)
         for batch in batches:
-            for part in text_slices(batch, "_text"):
-                x = np.array([features(t, words) for t in texts(part.column("_text"))], float).reshape(part.num_rows, len(FEATURES))
-                found = model.score(x)
-                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in kept), pa.array(found), pa.array((found >= threshold).astype(np.int32))], names=[*kept, "score", "predicted"])
+            for part in text_slices(batch, "text"):
+                found = _scores(part, shared.value, words)
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(found), pa.array((found >= threshold).astype(np.int32))], names=[*kept, "score", "predicted"])
+
+    return docs.mapInArrow(task, docs.schema.add("score", "double").add("predicted", "int"))
+
+
+def drop_toxic(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
+    """``docs`` without the rows scored ``threshold`` or more; any columns."""
+    spark = docs.sparkSession
+    ship_package(spark)
+    shared = spark.sparkContext.broadcast(model)
+
+    def task(batches):
+        words = _Words(shared.value.lexicon)
+        for batch in batches:
+            for part in text_slices(batch, "text"):
+                yield part.filter(pa.array(_scores(part, shared.value, words) < threshold))
+
+    return docs.mapInArrow(task, docs.schema)
+
 
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
-    return docs.withColumn("_text", F.col("text").cast("string")).mapInArrow(task, f"{fields}, score double, predicted int")
+def _scores(batch: pa.RecordBatch, model: Model, words: _Words) -> np.ndarray:
+    x = np.array([features(t, words) for t in texts(batch.column("text"))], float)
+    return model.score(x.reshape(batch.num_rows, len(FEATURES)))
