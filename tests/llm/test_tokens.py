@@ -1,0 +1,202 @@
+"""Token operators: encoding, pfor files, packing, section counts."""
+
+import random
+import zlib
+
+import numpy as np
+import pytest
+from llm_cases import ODD, SF, make  # noqa: F401
+
+from weft.llm import packing, pfor, queries, token_counts
+from weft.llm.encoding import Encoder, tokenizer_json
+
+
+@pytest.fixture(scope="module")
+def enc():
+    return Encoder(tokenizer_json())
+
+
+def library_ids(enc, text):
+    return enc.tokenizer.encode(text or "", add_special_tokens=False).ids
+
+
+def as_bytes(ids):
+    return np.array(ids, "<u4").tobytes()
+
+
+def random_texts(n, seed=1):
+    rnd = random.Random(seed)
+    alphabet = "aAbZ'stremvld .,!?09éÉßİΣσςǅ́  \x1c\x1f\x85\n\t<|>ªº²½×÷ı한글가ﬁ中"
+    for _ in range(n):
+        text = "".join(rnd.choice(alphabet) for _ in range(rnd.randint(0, 14)))
+        yield text + ("<|endoftext|>" + text if rnd.random() < 0.05 else "")
+
+
+def test_encoding_equals_the_library(enc):
+    assert enc.words is not None
+    for text in [*random_texts(8000), *(t for _, t in ODD)]:
+        assert enc.ids(text) == as_bytes(library_ids(enc, text)), repr(text)[:80]
+
+
+def test_blocks_round_trip():
+    rng = np.random.default_rng(3)
+    for n in (0, 1, 127, 128, 129, 1000):
+        for top in (0, 1, 300, 2**31, 2**32 - 1):
+            ids = rng.integers(0, top + 1, n, dtype=np.uint64).astype(np.uint32)
+            if n:
+                ids[rng.integers(0, n, max(1, n // 20))] = top
+            assert (pfor.decode_blocks(b"".join(pfor.encode_blocks(ids))) == ids).all()
+
+
+def test_blocks_use_exceptions_not_the_largest_width():
+    ids = np.arange(128, dtype=np.uint32) % 4
+    ids[5] = 2**31
+    (block,) = pfor.encode_blocks(ids)
+    assert len(block) < 60 and block[7] == 1
+
+
+def expected_tokens(enc, rows):
+    out, at = [], 0
+    for doc, text in sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0)):
+        ids = [*library_ids(enc, text), 2]
+        out.append((doc, at, len(ids), zlib.crc32(as_bytes(ids))))
+        at += len(ids)
+    return out
+
+
+def test_pfor_files_hold_every_document_in_order(spark, make, enc, tmp_path):
+    path = str(tmp_path / "ids")
+    pfor.write_ids(pfor.encode_documents(pfor.in_id_order(make(ODD))), path)
+    got = [(r["doc_id"], r["start"], len(r["ids"]) // 4, zlib.crc32(bytes(r["ids"]))) for r in pfor.read_ids(spark, path).collect()]
+    key = lambda r: (r[0] is not None, r[0] or 0, r[1])
+    assert sorted(got, key=key) == sorted(expected_tokens(enc, ODD), key=key)
+
+
+def test_pfor_seeks_inside_a_file(tmp_path):
+    from pyarrow import fs
+
+    system, folder = pfor.open_folder(str(tmp_path))
+    rng = np.random.default_rng(0)
+    docs = [rng.integers(0, 50000, rng.integers(0, 900), dtype=np.uint32) for _ in range(60)]
+    with system.open_output_stream(f"{folder}/x.pfor") as s:
+        w = pfor.FileWriter(s)
+        for i, d in enumerate(docs):
+            w.add(i, d.astype("<u4").tobytes())
+        w.close()
+    whole = np.concatenate(docs)
+    with system.open_input_file(f"{folder}/x.pfor") as f:
+        r = pfor.FileReader(f)
+        for lo, hi in ((0, 1), (127, 129), (1000, 5000), (len(whole) - 3, len(whole)), (4, 4)):
+            assert (r.ids(lo, hi) == whole[lo:hi]).all()
+    assert isinstance(system, fs.FileSystem)
+
+
+def test_pfor_of_an_empty_table(spark, make, tmp_path):
+    path = str(tmp_path / "none")
+    pfor.write_ids(pfor.encode_documents(pfor.in_id_order(make([]))), path)
+    assert pfor.read_ids(spark, path).count() == 0
+
+
+def test_op1_against_the_library(spark, enc):
+    rows = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{SF}/documents.parquet").collect()]
+    got = sorted(tuple(r) for r in queries.QUERIES["op1_pfor_ids"](spark, SF).collect())
+    assert got == expected_tokens(enc, rows)
+
+
+def check_packing(rows, docs_tokens, capacity):
+    """Every id in exactly one piece, sequences gapless and within capacity."""
+    sequences = {}
+    pieces = {}
+    for r in rows:
+        sequences.setdefault(r["sequence_id"], []).append((r["offset"], r["length"]))
+        pieces.setdefault(r["doc_id"], []).append((r["start"], r["length"], r["doc_tokens"]))
+    for parts in sequences.values():
+        at = 0
+        for offset, length in sorted(parts):
+            assert offset == at and length > 0
+            at += length
+        assert at <= capacity
+    total = sum(x for ns in docs_tokens.values() for x in ns)
+    assert sum(r["length"] for r in rows) == total
+    for doc, ns in docs_tokens.items():
+        if len(ns) == 1:
+            at = 0
+            for start, length, whole in sorted(pieces[doc]):
+                assert start == at and whole == ns[0]
+                at += length
+            assert at == ns[0]
+    return sequences, total
+
+
+@pytest.mark.parametrize("group_rows", [50_000, 3])
+def test_packing_is_whole(spark, make, enc, group_rows):
+    docs_tokens = {}
+    for doc, text in ODD:
+        docs_tokens.setdefault(doc, []).append(len(library_ids(enc, text)) + 1)
+    rows = packing.pack_documents(make(ODD), capacity=256, quantum=16, group_rows=group_rows).collect()
+    check_packing(rows, docs_tokens, 256)
+    text = dict(ODD[3:4] + ODD[8:])
+    for r in rows:
+        assert zlib.crc32(bytes(r["ids"])) == r["ids_crc32"]
+        if r["doc_id"] in text and r["doc_id"] not in (1,):
+            ids = [*library_ids(enc, text[r["doc_id"]]), 2]
+            assert bytes(r["ids"]) == as_bytes(ids[r["start"] : r["start"] + r["length"]])
+
+
+def test_packing_of_an_empty_table(make):
+    assert packing.pack_documents(make([])).count() == 0
+
+
+def test_op3_pads_little(spark, enc):
+    docs = {r["doc_id"]: [len(library_ids(enc, r["text"])) + 1] for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    sequences, total = check_packing(queries.QUERIES["op3_column_packing"](spark, SF).collect(), docs, 4096)
+    assert len(sequences) * 4096 <= 1.06 * total + 4096  # few sequences: the last ones weigh in
+
+
+def test_patterns_hold_exactly_the_counts_near_the_optimum():
+    rng = np.random.default_rng(1)
+    sizes = np.minimum(256, np.maximum(1, rng.lognormal(3.2, 1.0, 20000))).astype(int)
+    counts = dict(zip(*(a.tolist() for a in np.unique(sizes, return_counts=True))))
+    plan = packing.plan_patterns(counts, 256)
+    held = {}
+    for pattern, times in plan:
+        assert sum(s * n for s, n in pattern.items()) <= 256
+        for s, n in pattern.items():
+            held[s] = held.get(s, 0) + n * times
+    assert held == counts
+    assert sum(t for _, t in plan) <= 1.02 * sizes.sum() / 256 + len(counts)
+
+
+def test_section_counts_equal_token_by_token(spark, make, enc):
+    rows = [*((100 + i, t) for i, t in enumerate(random_texts(300, 7))), *ODD, (50, 'He said "end." Then!? ...,,"')]
+    for rule in token_counts.RULES:
+        expected = []
+        for doc, text in rows:
+            text = text or ""
+            bounds = np.asarray(token_counts.sentence_ends(text))
+            n, x = [0] * len(bounds), [0] * len(bounds)
+            for span in enc.tokenizer.encode(text, add_special_tokens=False).offsets:
+                k, crosses = token_counts.owner(span, bounds, rule)
+                n[k] += 1
+                x[k] += crosses
+            begins = [0, *bounds[:-1].tolist()]
+            expected += [(doc, k, begins[k], int(bounds[k]), n[k], x[k]) for k in range(len(bounds))]
+        got = [tuple(r) for r in token_counts.section_counts(make(rows), rule=rule).collect()]
+        key = lambda r: (r[0] is None, r[0] or 0, *r[1:])
+        assert sorted(got, key=key) == sorted(expected, key=key)
+
+
+def test_boundary_rules():
+    bounds = np.array([3, 5, 9])
+    assert [token_counts.owner((2, 8), bounds, r)[0] for r in ("start", "majority", "end")] == [0, 2, 2]
+    assert token_counts.owner((2, 4), bounds, "majority") == (0, True)  # a tie goes to the earlier
+    with pytest.raises(ValueError):
+        token_counts.section_counts(None, rule="other")
+
+
+def test_op10_counts_add_up(spark, enc):
+    rows = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    sums = {}
+    for r in queries.QUERIES["op10_section_tokens"](spark, SF).collect():
+        sums[r["doc_id"]] = sums.get(r["doc_id"], 0) + r["n_tokens"]
+    assert sums == {d: len(library_ids(enc, t)) for d, t in rows.items()}

@@ -32,6 +32,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from weft.llm.boosting import fit_isotonic, fit_trees
 from weft.llm.common import text_slices, texts
@@ -256,7 +257,7 @@ def score(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFr
                 found = _scores(part, shared.value, words)
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(found), pa.array((found >= threshold).astype(np.int32))], names=[*kept, "score", "predicted"])
 
-    return docs.mapInArrow(task, docs.schema.add("score", "double").add("predicted", "int"))
+    return docs.mapInArrow(task, T.StructType([*docs.schema, T.StructField("score", T.DoubleType()), T.StructField("predicted", T.IntegerType())]))
 
 
 def drop_toxic(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
