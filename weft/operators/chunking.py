@@ -14,6 +14,11 @@ from pyspark.sql import functions as F
 from weft.functions.text import nonblank_lines, normalize_ws
 
 
+def _let(value: Column, body) -> Column:
+    """``body`` of ``value``, evaluated once however often the body uses it."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def _check_window(size: int, overlap: int) -> None:
     if size <= 0:
         raise ValueError(f"chunk size must be positive, got {size}")
@@ -41,24 +46,28 @@ def chunk(
     """
     _check_window(size, overlap)
     step = size - overlap
-    norm = df.select(*id_cols, normalize_ws(F.col(text_col)).alias("_t"))
-    n_len = F.length("_t")
-    n_chunks = F.when(n_len <= size, F.lit(1)).otherwise(
-        F.floor((n_len - F.lit(size) + F.lit(step - 1)) / F.lit(step)).cast("int") + 1
-    )
-    exploded = norm.select(
-        *id_cols, "_t", F.explode(F.sequence(F.lit(0), n_chunks - 1)).alias("chunk_id")
-    )
-    start = F.col("chunk_id") * F.lit(step)
-    end = F.least(start + F.lit(size), F.length("_t"))
-    return exploded.select(
-        *id_cols,
-        F.col("chunk_id").cast("int").alias("chunk_id"),
-        F.substring("_t", start + 1, end - start).alias("text"),
-        (end - start).cast("int").alias("chunk_size"),
-        start.cast("int").alias("start_char"),
-        end.cast("int").alias("end_char"),
-    )
+    # The text is cut once into pieces of ``step`` characters; a chunk joins the
+    # few pieces its window covers. The chunks leave the row without the text,
+    # so the cost is linear in the text whatever its length.
+    span = -(-size // step)
+
+    def windows(t: Column) -> Column:
+        return _let(F.struct(F.length(t).alias("n"), F.regexp_extract_all(t, F.lit(f"(?s).{{1,{step}}}"), F.lit(0)).alias("p")), rows)
+
+    def rows(c: Column) -> Column:
+        return _let(c["n"], lambda n: _let(c["p"], lambda p: F.transform(F.sequence(F.lit(0), _count(n) - 1), lambda k: row(n, p, k))))
+
+    def _count(n: Column) -> Column:
+        return F.when(n <= size, F.lit(1)).otherwise(F.floor((n - F.lit(size) + F.lit(step - 1)) / F.lit(step)).cast("int") + 1)
+
+    def row(n: Column, p: Column, k: Column) -> Column:
+        start = k * F.lit(step)
+        end = F.least(start + F.lit(size), n)
+        text = F.substring(F.array_join(F.slice(p, k + 1, F.lit(span)), ""), 1, size)
+        return F.struct(k.cast("int").alias("chunk_id"), text.alias("text"), (end - start).cast("int").alias("chunk_size"),
+                        start.cast("int").alias("start_char"), end.cast("int").alias("end_char"))
+
+    return df.select(*id_cols, F.inline(_let(normalize_ws(F.col(text_col)), windows)))
 
 
 def chunk_text(text: Column, chunk_id: Column, size: int, overlap: int) -> Column:

@@ -6,7 +6,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from weft.functions import prompts as R
@@ -174,10 +174,11 @@ def rag_answer_q(spark, d):
 
 
 def turn_pairs(conv: DataFrame) -> DataFrame:
-    """A user turn and the assistant turn that answers it: (conv_id, turn, prompt, reply)."""
+    """Every user turn with the assistant turn that answers it, if any:
+    (conv_id, turn, prompt, reply); the reply is empty without one."""
     u = conv.where(F.col("role") == "user").select("conv_id", "turn", F.col("text").alias("prompt"))
     a = conv.where(F.col("role") == "assistant").select("conv_id", (F.col("turn") - 1).alias("turn"), F.col("text").alias("reply"))
-    return u.join(a, ["conv_id", "turn"])
+    return u.join(a, ["conv_id", "turn"], "left").withColumn("reply", F.coalesce("reply", F.lit("")))
 
 
 def _msgs(df: DataFrame, ids, messages) -> DataFrame:
@@ -216,7 +217,7 @@ def prompt_retry(spark, d):
     conv = table(spark, d, "conversations")
     pairs = turn_pairs(conv)
     nxt = conv.where(F.col("role") == "user").select("conv_id", (F.col("turn") - 2).alias("turn"), F.col("text").alias("instructions"))
-    trip = pairs.join(nxt, ["conv_id", "turn"])
+    trip = pairs.join(nxt, ["conv_id", "turn"], "left").withColumn("instructions", F.coalesce("instructions", F.lit("")))
     return _msgs(trip, ["conv_id", "turn"], R.retry("prompt", "reply", "instructions"))
 
 
@@ -229,7 +230,9 @@ def prompt_step_context(spark, d):
     conv = table(spark, d, "conversations")
     prev = conv.select("conv_id", (F.col("turn") + 1).alias("turn"), F.col("text").alias("current"))
     cur = conv.select("conv_id", "turn", F.col("text").alias("step"))
-    return cur.join(prev, ["conv_id", "turn"]).select("conv_id", "turn", R.step_context("current", "step").alias("user"))
+    # the first step has no result before it: it is seeded with the workflow prompt
+    seeded = cur.join(prev, ["conv_id", "turn"], "left").withColumn("current", F.coalesce("current", F.lit(P.WORKFLOW_PROMPT)))
+    return seeded.select("conv_id", "turn", R.step_context("current", "step").alias("user"))
 
 
 def prompt_spec_knowledge(spark, d):
@@ -369,48 +372,65 @@ def workflow_plan(spark, d):
 # ---------------------------------------------------------------------------
 
 
+def several(first: Column, more: Column, key: Column) -> Column:
+    """One to three records by the key: ``first`` comes last, after ``more``."""
+    return F.concat(F.repeat(F.concat(more, F.lit("\n")), (key % 3).cast("int")), first)
+
+
 def story_texts(customer: DataFrame) -> DataFrame:
-    """User stories from customers; the ``so that`` clause is missing for the AUTOMOBILE segment."""
+    """One to three user stories from customers; the ``so that`` clause of the
+    last is missing for the AUTOMOBILE segment."""
     seg = F.lower(F.col("c_mktsegment"))
     broken = F.col("c_mktsegment") == "AUTOMOBILE"
     head = F.concat(F.lit("As a "), seg, F.lit(" buyer, I want to review account "), F.col("c_name"))
     tail = F.concat(F.lit(" so that my balance of "), F.format_string("%.2f", F.col("c_acctbal")), F.lit(" stays correct."))
-    return customer.select(F.col("c_custkey").alias("id"), F.when(broken, F.concat(head, F.lit("."))).otherwise(F.concat(head, tail)).alias("text"))
+    text = several(F.when(broken, F.concat(head, F.lit("."))).otherwise(F.concat(head, tail)), F.concat(head, tail), F.col("c_custkey"))
+    return customer.select(F.col("c_custkey").alias("id"), text.alias("text"))
 
 
 def feature_texts(part: DataFrame) -> DataFrame:
-    """Feature blocks from parts; ``User Benefit`` is empty for sizes below 10."""
-    benefit = F.when(F.col("p_size") < 10, F.lit("")).otherwise(F.concat(F.lit("Saves time on "), F.col("p_type")))
-    text = F.concat(F.lit("Feature Name: "), F.col("p_name"), F.lit("\nDescription: "), F.col("p_type"),
-                    F.lit("\nKey Functionality: "), F.col("p_brand"), F.lit("\nUser Benefit: "), benefit)
+    """One to three feature blocks from parts; ``User Benefit`` of the last is
+    empty for sizes below 10."""
+    full = F.concat(F.lit("Saves time on "), F.col("p_type"))
+    block = F.concat(F.lit("Feature Name: "), F.col("p_name"), F.lit("\nDescription: "), F.col("p_type"),
+                     F.lit("\nKey Functionality: "), F.col("p_brand"), F.lit("\nUser Benefit: "))
+    text = several(F.concat(block, F.when(F.col("p_size") < 10, F.lit("")).otherwise(full)), F.concat(block, full), F.col("p_partkey"))
     return part.select(F.col("p_partkey").alias("id"), text.alias("text"))
 
 
 def task_texts(orders: DataFrame) -> DataFrame:
-    """Task blocks from orders; ``Dependencies`` is missing for 5-LOW priority."""
+    """One to three task blocks from orders; ``Dependencies`` of the last is
+    missing for 5-LOW priority."""
     key = F.col("o_orderkey").cast("string")
-    deps = F.when(F.col("o_orderpriority") == "5-LOW", F.lit("")).otherwise(F.concat(F.lit("\nDependencies: order "), F.col("o_custkey").cast("string")))
-    text = F.concat(F.lit("Task ID: T-"), key, F.lit("\nTask Title: Route order "), key,
+    full = F.concat(F.lit("\nDependencies: order "), F.col("o_custkey").cast("string"))
+    block = F.concat(F.lit("Task ID: T-"), key, F.lit("\nTask Title: Route order "), key,
                     F.lit("\nRelated User Story: "), F.col("o_orderpriority"), F.lit("\nDescription: status "), F.col("o_orderstatus"),
                     F.lit("\nAcceptance Criteria: total "), F.format_string("%.2f", F.col("o_totalprice")),
-                    F.lit("\nEstimated Effort: 2 days"), deps)
+                    F.lit("\nEstimated Effort: 2 days"))
+    last = F.concat(block, F.when(F.col("o_orderpriority") == "5-LOW", F.lit("")).otherwise(full))
+    text = several(last, F.concat(block, full), F.col("o_orderkey"))
     return orders.select(F.col("o_orderkey").alias("id"), text.alias("text"))
 
 
 def validate_stories(spark, d):
-    s = story_texts(table(spark, d, "customer")).select("id", V.story("text").alias("v"))
-    return s.select("id", F.col("v.valid").alias("valid"), F.col("v.persona").alias("persona"),
-                    F.col("v.action").alias("action"), F.col("v.benefit").alias("benefit"))
+    return _records(story_texts(table(spark, d, "customer")), V.story("text"), ("persona", "action", "benefit"))
+
+
+def _records(texts: DataFrame, validator: Column, fields) -> DataFrame:
+    """Verdict, number of records and of valid ones, and each field over all records."""
+    s = texts.select("id", validator.alias("v"))
+    return s.select(
+        "id", F.col("v.valid").alias("valid"), F.size("v.records").alias("n_records"),
+        F.size(F.filter("v.records", lambda r: r["valid"])).alias("n_valid"),
+        *[F.array_join(F.col(f"v.records.{f}"), " | ").alias(f) for f in fields])
 
 
 def validate_features(spark, d):
-    s = feature_texts(table(spark, d, "part")).select("id", V.feature("text").alias("v"))
-    return s.select("id", "v.*")
+    return _records(feature_texts(table(spark, d, "part")), V.feature("text"), [x.lower().replace(" ", "_") for x in V.FEATURE_LABELS])
 
 
 def validate_tasks(spark, d):
-    s = task_texts(table(spark, d, "orders")).select("id", V.task("text").alias("v"))
-    return s.select("id", "v.*")
+    return _records(task_texts(table(spark, d, "orders")), V.task("text"), [x.lower().replace(" ", "_") for x in V.TASK_LABELS])
 
 
 def validate_prefix(spark, d):

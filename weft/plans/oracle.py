@@ -80,8 +80,9 @@ def rag_sims() -> str:
   _cn AS (SELECT doc_id, chunk_id, sum(tf * tf) AS sq FROM _cb GROUP BY ALL),
   _pn AS (SELECT item_id, sum(tf * tf) AS sq FROM _pb GROUP BY ALL),
   _dots AS (SELECT item_id, doc_id, chunk_id, sum(_pb.tf * _cb.tf) AS dot FROM _pb JOIN _cb USING (bucket) GROUP BY ALL),
-  sims AS (SELECT d.item_id, d.doc_id, d.chunk_id, d.dot / (sqrt(_pn.sq) * sqrt(_cn.sq)) AS similarity
-           FROM _dots d JOIN _pn USING (item_id) JOIN _cn USING (doc_id, chunk_id)),
+  sims AS (SELECT _pn.item_id, _cn.doc_id, _cn.chunk_id, coalesce(d.dot, 0) / (sqrt(_pn.sq) * sqrt(_cn.sq)) AS similarity
+           FROM _pn CROSS JOIN _cn
+           LEFT JOIN _dots d ON d.item_id = _pn.item_id AND d.doc_id = _cn.doc_id AND d.chunk_id = _cn.chunk_id),
   ranked AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY round(similarity, 9) DESC, doc_id, chunk_id) AS rn FROM sims)"""
 
 
@@ -99,8 +100,8 @@ def extractive(keys: str, src: str, question: str, knowledge: str) -> str:
 
 
 PAIRS = """
-  pairs AS (SELECT u.conv_id, u.turn, u.text AS prompt, a.text AS reply
-            FROM conversations u JOIN conversations a
+  pairs AS (SELECT u.conv_id, u.turn, u.text AS prompt, coalesce(a.text, '') AS reply
+            FROM conversations u LEFT JOIN conversations a
               ON a.conv_id = u.conv_id AND a.turn = u.turn + 1 AND a.role = 'assistant'
             WHERE u.role = 'user')"""
 
@@ -191,15 +192,15 @@ FROM embeddings e LEFT JOIN b ON b.vec_id = e.vec_id AND b.rn = 1"""
     q["prompt_correction"] = _msgs_sql(
         "conv_id, turn", "NULL::VARCHAR", f"{lit(R.CORRECTION_HEAD)} || text", "conversations", "WHERE role = 'assistant'")
     q["prompt_retry"] = f"""WITH {PAIRS},
-     trip AS (SELECT p.*, n.text AS instructions FROM pairs p JOIN conversations n
+     trip AS (SELECT p.*, coalesce(n.text, '') AS instructions FROM pairs p LEFT JOIN conversations n
               ON n.conv_id = p.conv_id AND n.turn = p.turn + 2 AND n.role = 'user') """ + _msgs_sql(
         "conv_id, turn", "NULL::VARCHAR",
         f"{lit(R.RETRY_1)} || prompt || {lit(R.RETRY_2)} || reply || {lit(R.RETRY_3)} || instructions", "trip")
     q["prompt_planner"] = _msgs_sql(
         "conv_id, turn", lit(R.PLANNER_SYSTEM + P.EGG_KNOWLEDGE), "text", "conversations", "WHERE role = 'user'")
     q["prompt_step_context"] = f"""
-SELECT c.conv_id, c.turn, {lit(R.STEP_1)} || p.text || {lit(R.STEP_2)} || c.text || {lit(R.STEP_3)} AS user
-FROM conversations c JOIN conversations p ON p.conv_id = c.conv_id AND p.turn + 1 = c.turn"""
+SELECT c.conv_id, c.turn, {lit(R.STEP_1)} || coalesce(p.text, {lit(P.WORKFLOW_PROMPT)}) || {lit(R.STEP_2)} || c.text || {lit(R.STEP_3)} AS user
+FROM conversations c LEFT JOIN conversations p ON p.conv_id = c.conv_id AND p.turn + 1 = c.turn"""
     q["prompt_spec_knowledge"] = f"SELECT doc_id, {lit(R.SPEC_KNOWLEDGE_HEAD)} || text AS knowledge FROM documents"
 
     # completion and judging
@@ -207,7 +208,7 @@ FROM conversations c JOIN conversations p ON p.conv_id = c.conv_id AND p.turn +
      cand AS ({extractive('conv_id, turn', 'pairs', 'prompt', 'reply')})
 SELECT p.conv_id, p.turn, coalesce(c.sent, '') AS response
 FROM pairs p LEFT JOIN cand c ON c.conv_id = p.conv_id AND c.turn = p.turn AND c.rk = 1"""
-    h = f"sha256('user' || chr(31) || text)"
+    h = f"sha256('user' || chr(31) || coalesce(text, {lit(E.NULL_MARK)}))"
     q["complete_dedup"] = f"""
 WITH r AS (SELECT {h} AS h FROM conversations UNION ALL SELECT {h} FROM conversations),
      st AS (SELECT DISTINCT {h} AS h FROM conversations WHERE turn = 0)
@@ -251,37 +252,40 @@ SELECT s.doc_id AS prompt_id, s.name,
 FROM src s LEFT JOIN cand c ON c.doc_id = s.doc_id AND c.rk = 1"""
     q["rag_answer"] = f"""
 WITH {rag_sims()},
-     best AS (SELECT r.item_id, c.text AS chunk, b.text AS prompt FROM ranked r
-              JOIN chunks c USING (doc_id, chunk_id) JOIN benchmark b USING (item_id) WHERE r.rn = 1),
+     best AS (SELECT b.item_id, coalesce(c.text, '') AS chunk, b.text AS prompt FROM benchmark b
+              LEFT JOIN ranked r ON r.item_id = b.item_id AND r.rn = 1
+              LEFT JOIN chunks c ON c.doc_id = r.doc_id AND c.chunk_id = r.chunk_id),
      cand AS ({extractive('item_id', 'best', 'prompt', 'chunk')})
 SELECT b.item_id, coalesce(c.sent, '') AS response FROM best b LEFT JOIN cand c ON c.item_id = b.item_id AND c.rk = 1"""
 
     # validators
-    story = V.STORY_PATTERN
-    stext = """CASE WHEN c_mktsegment = 'AUTOMOBILE'
-                 THEN 'As a ' || lower(c_mktsegment) || ' buyer, I want to review account ' || c_name || '.'
-                 ELSE 'As a ' || lower(c_mktsegment) || ' buyer, I want to review account ' || c_name || ' so that my balance of ' || printf('%.2f', c_acctbal) || ' stays correct.' END"""
+    def several(last: str, more: str, key: str) -> str:
+        return f"repeat({more} || chr(10), ({key} % 3)::INTEGER) || {last}"
+
+    shead = "'As a ' || lower(c_mktsegment) || ' buyer, I want to review account ' || c_name"
+    sfull = shead + " || ' so that my balance of ' || printf('%.2f', c_acctbal) || ' stays correct.'"
+    stext = several(f"CASE WHEN c_mktsegment = 'AUTOMOBILE' THEN {shead} || '.' ELSE {sfull} END", sfull, "c_custkey")
+    sfields = ", ".join(f"array_to_string(list_transform(rs, lambda r: {STORY_FIELD('r', i)}), ' | ') AS {n}"
+                        for i, n in enumerate(("persona", "action", "benefit"), start=1))
     q["validate_stories"] = f"""
-SELECT id, coalesce(regexp_matches(t, '{story}'), false) AS valid, regexp_extract(t, '{story}', 1) AS persona,
-       regexp_extract(t, '{story}', 2) AS action, regexp_extract(t, '{story}', 3) AS benefit
-FROM (SELECT c_custkey AS id, {stext} AS t FROM customer)"""
+SELECT id, {_verdict(STORY_OK)}, {sfields}
+FROM (SELECT c_custkey AS id, {STORIES(stext)} AS rs FROM customer)"""
 
-    def field(label: str) -> str:
-        return f"trim(regexp_extract(t, '(?m)^{label}:[ ]*([^' || chr(10) || ']*)', 1))"
-
-    def labelled(labels) -> str:
-        valid = " AND ".join(f"{field(lab)} <> ''" for lab in labels)
-        cols = ", ".join(f"{field(lab)} AS {lab.lower().replace(' ', '_')}" for lab in labels)
-        return f"coalesce({valid}, false) AS valid, {cols}"
+    def labelled(labels, text: str, key: str, src: str) -> str:
+        cols = ", ".join(f"array_to_string(list_transform(rs, lambda r: {_field('r', lab)}), ' | ') AS {lab.lower().replace(' ', '_')}" for lab in labels)
+        return f"SELECT id, {_verdict(lambda r: _labels_ok(r, labels))}, {cols} FROM (SELECT {key} AS id, {RECORDS(text, labels)} AS rs FROM {src})"
 
     ftext = """'Feature Name: ' || p_name || chr(10) || 'Description: ' || p_type || chr(10) || 'Key Functionality: ' || p_brand
-               || chr(10) || 'User Benefit: ' || CASE WHEN p_size < 10 THEN '' ELSE 'Saves time on ' || p_type END"""
-    q["validate_features"] = f"SELECT id, {labelled(V.FEATURE_LABELS)} FROM (SELECT p_partkey AS id, {ftext} AS t FROM part)"
+               || chr(10) || 'User Benefit: '"""
+    ffull = "'Saves time on ' || p_type"
+    q["validate_features"] = labelled(
+        V.FEATURE_LABELS, several(f"{ftext} || CASE WHEN p_size < 10 THEN '' ELSE {ffull} END", f"{ftext} || {ffull}", "p_partkey"), "p_partkey", "part")
     ttext = """'Task ID: T-' || o_orderkey::VARCHAR || chr(10) || 'Task Title: Route order ' || o_orderkey::VARCHAR
                || chr(10) || 'Related User Story: ' || o_orderpriority || chr(10) || 'Description: status ' || o_orderstatus
-               || chr(10) || 'Acceptance Criteria: total ' || printf('%.2f', o_totalprice) || chr(10) || 'Estimated Effort: 2 days'
-               || CASE WHEN o_orderpriority = '5-LOW' THEN '' ELSE chr(10) || 'Dependencies: order ' || o_custkey::VARCHAR END"""
-    q["validate_tasks"] = f"SELECT id, {labelled(V.TASK_LABELS)} FROM (SELECT o_orderkey AS id, {ttext} AS t FROM orders)"
+               || chr(10) || 'Acceptance Criteria: total ' || printf('%.2f', o_totalprice) || chr(10) || 'Estimated Effort: 2 days'"""
+    tfull = "chr(10) || 'Dependencies: order ' || o_custkey::VARCHAR"
+    q["validate_tasks"] = labelled(
+        V.TASK_LABELS, several(f"{ttext} || CASE WHEN o_orderpriority = '5-LOW' THEN '' ELSE {tfull} END", f"{ttext} || {tfull}", "o_orderkey"), "o_orderkey", "orders")
     q["validate_prefix"] = f"""
 SELECT c_custkey AS id, coalesce(starts_with(CASE WHEN c_acctbal >= 0 THEN 'Dear students, meet ' || c_name
                                                   ELSE 'Dear student, meet ' || c_name END, {lit(V.REQUIRED_PREFIX)}), false) AS valid
@@ -325,8 +329,38 @@ def _field(x: str, label: str) -> str:
     return f"trim(regexp_extract({x}, '(?m)^{label}:[ ]*([^' || chr(10) || ']*)', 1))"
 
 
+def _labels_ok(x: str, labels) -> str:
+    return "(" + " AND ".join(f"{_field(x, lab)} <> ''" for lab in labels) + ")"
+
+
+def RECORDS(x: str, labels) -> str:
+    """Records of a labelled answer: split before each line of the first label."""
+    head = f"'{labels[0]}:'"
+    return f"list_transform(string_split(chr(10) || {x}, chr(10) || {head})[2:], lambda s: {head} || s)"
+
+
+def STORIES(x: str) -> str:
+    return f"list_transform(string_split(regexp_replace({USTRIP(x)}, '{V.STORY_NEXT}', chr(1) || '\\1', 'g'), chr(1)), lambda s: {USTRIP('s')})"
+
+
+def STORY_OK(x: str) -> str:
+    return f"regexp_matches({x}, '{V.STORY_PATTERN}')"
+
+
+def STORY_FIELD(x: str, i: int) -> str:
+    return f"regexp_extract({x}, '{V.STORY_PATTERN}', {i})"
+
+
+def ALL_OK(records: str, ok) -> str:
+    return f"coalesce(len({records}) > 0 AND len(list_filter({records}, lambda r: NOT {ok('r')})) = 0, false)"
+
+
+def _verdict(ok) -> str:
+    return f"{ALL_OK('rs', ok)} AS valid, len(rs)::INTEGER AS n_records, len(list_filter(rs, lambda r: {ok('r')}))::INTEGER AS n_valid"
+
+
 def _valid_labels(x: str, labels) -> str:
-    return "coalesce(" + " AND ".join(f"{_field(x, lab)} <> ''" for lab in labels) + ", false)"
+    return ALL_OK(RECORDS(x, labels), lambda r: _labels_ok(r, labels))
 
 
 def _workflow_sql() -> str:
@@ -336,7 +370,7 @@ def _workflow_sql() -> str:
     answer in closed form under the agent's rule; R10 assembles the plan."""
     m = P.MAX_INTERACTIONS
     rules = {
-        "product_manager": lambda x: f"coalesce(regexp_matches({x}, '{V.STORY_PATTERN}'), false)",
+        "product_manager": lambda x: ALL_OK(STORIES(x), STORY_OK),
         "program_manager": lambda x: _valid_labels(x, V.FEATURE_LABELS),
         "development_engineer": lambda x: _valid_labels(x, V.TASK_LABELS),
     }
