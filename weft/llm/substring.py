@@ -15,8 +15,10 @@ at an earlier word); windows are judged on the input.
    leave as runs; only the first goes to the exact grouping by a 128-bit hash
    of its words. A window that is in every document therefore reaches the
    grouping once per slice, not once per document.
-3. In each group all but the first (smallest doc_id, start) are repeats. Runs
-   meet their documents by doc_id, and covered words are dropped.
+3. In each group all but the first (smallest doc_id, start) are repeats. They
+   are merged to runs per document and written; runs of a checked size are
+   broadcast to the documents, so that no text moves, larger ones meet them in
+   a join on doc_id. Covered words are dropped.
 
 The sketch is sized from the text's volume. If the input outgrows
 ``max_cells``, more unrepeated windows pass the estimate and are grouped
@@ -41,7 +43,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from weft.llm.common import text_slices, texts
-from weft.session import ship_package
+from weft.session import broadcast_if_small, cut_lineage, ship_package
 
 WINDOW = 20
 #: Most cells of a sketch row: two rows of 32 MiB each are broadcast.
@@ -50,6 +52,10 @@ MAX_CELLS = 1 << 28
 CHARS_PER_WORD = 6
 #: Bits of one chunk that partition sketches are merged by.
 CHUNK_BITS = 1 << 19
+#: Characters of text whose words a task holds at once.
+SLICE_CHARS = 2_000_000
+#: Most bytes of runs that are broadcast.
+RUN_BYTES, RUN_ROWS = 64 << 20, 4_000_000
 
 _M1, _M2 = 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F  # fixed odd multipliers
 
@@ -157,7 +163,7 @@ def build_sketch(docs: DataFrame, window: int, cells: int) -> list[np.ndarray]:
     def local(batches):
         sketch = Sketch(cells)
         for batch in batches:
-            for part in text_slices(batch, "text"):
+            for part in text_slices(batch, "text", SLICE_CHARS):
                 h1, h2, _, _ = slice_windows(part, window)
                 sketch.add(h1, h2)
         for r in range(2):
@@ -204,8 +210,20 @@ def _runs(doc: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray, n
     return doc[cut], start[cut], start[last] - start[cut] + 1
 
 
-def repeated_starts(docs: DataFrame, window: int = WINDOW, max_cells: int = MAX_CELLS) -> DataFrame:
-    """(doc_id, start, n): runs of ``n`` window starts that also start earlier."""
+def merge_runs(doc: np.ndarray, start: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Runs of starts joined where they touch: document number, start, length."""
+    at = (doc << 40) + start
+    order = np.argsort(at, kind="stable")
+    at = at[order]
+    end = np.maximum.accumulate(at + n[order])
+    cut = np.nonzero(np.concatenate(([True], at[1:] > end[:-1])))[0]
+    last = np.append(cut[1:], len(at)) - 1
+    return at[cut] >> 40, at[cut] & ((1 << 40) - 1), end[last] - at[cut]
+
+
+def repeated_runs(docs: DataFrame, window: int = WINDOW, max_cells: int = MAX_CELLS) -> DataFrame:
+    """(doc_id, starts, ns), written: the runs of ``n`` consecutive window starts
+    of a document that also start earlier."""
     spark = docs.sparkSession
     ship_package(spark)
     known = docs.where("doc_id IS NOT NULL AND text IS NOT NULL")
@@ -214,7 +232,7 @@ def repeated_starts(docs: DataFrame, window: int = WINDOW, max_cells: int = MAX_
 
     def second(batches):
         for batch in batches:
-            for part in text_slices(batch, "text"):
+            for part in text_slices(batch, "text", SLICE_CHARS):
                 h1, h2, row, start = slice_windows(part, window)
                 keep = estimated_repeated(*sketch.value, h1, h2)
                 h1, h2, start = h1[keep], h2[keep], start[keep]
@@ -235,18 +253,33 @@ def repeated_starts(docs: DataFrame, window: int = WINDOW, max_cells: int = MAX_
 
     found = known.mapInArrow(second, "known byte, h1 long, h2 long, doc_id long, start long, n long")
     first = Window.partitionBy("known", "h1", "h2").orderBy("doc_id", "start")
-    return found.withColumn("_rank", F.rank().over(first)).where("known = 1 OR _rank > 1").select("doc_id", "start", "n")
+    later = found.withColumn("_rank", F.rank().over(first)).where("known = 1 OR _rank > 1")
+
+    def merge(batches):
+        for batch in batches:
+            of = batch.column("runs")
+            parts = of.flatten()
+            sizes = np.diff(np.asarray(of.offsets))
+            doc, start, n = merge_runs(np.repeat(np.arange(len(sizes)), sizes), *(np.asarray(parts.field(c)) for c in ("start", "n")))
+            offsets = pa.array(np.searchsorted(doc, np.arange(len(sizes) + 1)), pa.int32())
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *(pa.ListArray.from_arrays(offsets, pa.array(x, pa.int64())) for x in (start, n))], names=["doc_id", "starts", "ns"])
+
+    # a document has at most as many runs as words
+    per_doc = later.groupBy("doc_id").agg(F.collect_list(F.struct("start", "n")).alias("runs"))
+    runs = cut_lineage(per_doc.mapInArrow(merge, "doc_id long, starts array<long>, ns array<long>"), "runs")
+    sketch.destroy()
+    return runs
 
 
 def remove_repeats(docs: DataFrame, window: int = WINDOW, max_cells: int = MAX_CELLS) -> DataFrame:
     """Per row: doc_id, n_words, n_removed, kept_text (kept words joined by one
     space) and kept_sha256."""
     plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    runs = repeated_starts(plain, window, max_cells).groupBy("doc_id").agg(F.collect_list("start").alias("starts"), F.collect_list("n").alias("ns"))
+    runs = broadcast_if_small(repeated_runs(plain, window, max_cells), RUN_ROWS, RUN_BYTES)
 
     def drop(batches):
         for batch in batches:
-            for part in text_slices(batch, "text"):
+            for part in text_slices(batch, "text", SLICE_CHARS):
                 out = []
                 for doc, text, starts, ns in zip(part.column("doc_id").to_pylist(), texts(part.column("text")), part.column("starts"), part.column("ns")):
                     words = text.encode("utf-8", "surrogatepass").split()
