@@ -20,14 +20,14 @@ from weft.operators.refine import answer_then_refine, refine
 from weft.operators.routing import (
     FALLBACK_RESPONSE,
     attach_agent,
-    best_route,
+    best_routes,
     explode_scores,
     score_routes,
 )
 from weft.operators.scoring import top_k_matches
 from weft.plans import presets as P
 from weft.plans.planning import parse_sections, plan_steps
-from weft.plans.workflow import rag_answer, rag_top_chunks, route_and_respond, run_workflow
+from weft.plans.workflow import rag_answer, rag_top_chunks, route_and_respond, run_workflow, run_workflow_from_prompt
 from weft.session import broadcast_if_small, cut_lineage, scratch_path, spread
 from weft.sources.io import read_chunks_csv, read_whole_text, write_chunks_csv
 
@@ -36,7 +36,9 @@ CHUNK_SIZE, CHUNK_OVERLAP = 500, 200
 TOPK = 3
 REFINE_MAX_CHARS = 80
 PROMPT_ID_STRIDE = 100_000  # prompt_id = conv_id * stride + turn
-WORKFLOW_STEPS = ("Define the user stories", "Define the product features", "Define the engineering tasks")
+# Projects have the first 0, 1, 2, 3 or 5 of these steps; the fourth is blank.
+WORKFLOW_STEPS = ("Define the user stories", "  Define the product features \t", "Define the engineering tasks", " \u3000 ", "Review the development plan")
+WORKFLOW_COUNTS = (0, 1, 2, 3, 5)
 
 
 def table(spark: SparkSession, d: str, name: str) -> DataFrame:
@@ -123,27 +125,27 @@ def centroid_routes(emb: DataFrame, split_routers: bool = False) -> tuple[DataFr
 
 
 def _routed_embeddings(spark, d, split_routers=False):
+    """Prompts, routes and agents of the dense routing queries."""
     emb = table(spark, d, "embeddings")
     routes, agents = centroid_routes(emb, split_routers)
     prompts = emb.select("vec_id", F.col("embedding").cast("array<double>").alias("vec"),
                          (F.col("label") % 2).cast("long").alias("router_id"))
-    scored = score_routes(prompts, routes, kind="dense", router_col="router_id" if split_routers else None)
-    return scored, agents
+    return prompts, routes, agents
 
 
 def route_scores(spark, d):
-    scored, _ = _routed_embeddings(spark, d)
-    return explode_scores(scored, ["vec_id"]).select("vec_id", "route_pos", F.round("similarity", 6).alias("similarity"))
+    prompts, routes, _ = _routed_embeddings(spark, d)
+    return explode_scores(score_routes(prompts, routes), ["vec_id"]).select("vec_id", "route_pos", F.round("similarity", 6).alias("similarity"))
 
 
 def route_best(spark, d):
-    scored, _ = _routed_embeddings(spark, d)
-    return best_route(scored).select("vec_id", "route_pos", "score_label")
+    prompts, routes, _ = _routed_embeddings(spark, d)
+    return best_routes(prompts, routes).select("vec_id", "route_pos", "score_label")
 
 
 def route_fallback(spark, d):
-    scored, agents = _routed_embeddings(spark, d, split_routers=True)
-    routed = attach_agent(best_route(scored).drop("scores", "vec"), agents)
+    prompts, routes, agents = _routed_embeddings(spark, d, split_routers=True)
+    routed = attach_agent(best_routes(prompts, routes, router_col="router_id"), agents)
     resp = F.when(F.col("routed"), F.col("knowledge")).otherwise(F.lit(FALLBACK_RESPONSE))
     return routed.select("vec_id", resp.alias("response"), "routed")
 
@@ -360,10 +362,23 @@ def workflow_rules() -> dict[str, Rule]:
 
 def workflow_plan(spark, d):
     projects = project_specs(spark, d)
-    steps = projects.select("project_id", F.posexplode(F.array(*[F.lit(s) for s in WORKFLOW_STEPS])).alias("i", "step")).select(
+    count = F.element_at(F.array(*[F.lit(n) for n in WORKFLOW_COUNTS]), (F.col("project_id") % len(WORKFLOW_COUNTS) + 1).cast("int"))
+    steps = projects.select("project_id", F.posexplode(F.slice(F.array(*[F.lit(s) for s in WORKFLOW_STEPS]), F.lit(1), count)).alias("i", "step")).select(
         "project_id", (F.col("i") + 1).alias("step_idx"), "step")
-    agents = P.job_agents(spark, R.SPEC_KNOWLEDGE_HEAD)
-    plans, _ = run_workflow(projects, steps, P.WORKFLOW_PROMPT, P.job_routes(spark), agents, workflow_rules())
+    plans, _ = run_workflow(projects, steps, P.WORKFLOW_PROMPT, P.job_routes(spark), P.job_agents(spark), workflow_rules())
+    return plans
+
+
+def knowledge_client():
+    """A stand-in planner model: answers with the knowledge it was given."""
+    return lambda batch: [msgs[0][1][len(R.PLANNER_SYSTEM):] for msgs in batch]
+
+
+def workflow_from_prompt(spark, d):
+    """The planner's answer gives the steps, which are then run."""
+    plans, _ = run_workflow_from_prompt(
+        project_specs(spark, d), P.WORKFLOW_PROMPT, CallableCompleter(knowledge_client), P.job_routes(spark), P.job_agents(spark),
+        P.PLANNING_KNOWLEDGE, workflow_rules())
     return plans
 
 
@@ -517,6 +532,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "validate_sections": validate_sections,
     "plan_steps": plan_steps_q,
     "workflow_plan": workflow_plan,
+    "workflow_from_prompt": workflow_from_prompt,
     "csv_round_trip": csv_round_trip,
     "whole_text": whole_text,
 }

@@ -169,11 +169,11 @@ SELECT vec_id, best_id, round(sim, 6) AS similarity FROM r WHERE rn = 1"""
     q["route_scores"] = f"WITH {_route_sims()} SELECT vec_id, route::INTEGER AS route_pos, round(sim, 6) AS similarity FROM rs"
     q["route_best"] = f"""
 WITH {_route_sims()},
-     b AS (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY sim DESC, route) AS rn FROM rs WHERE sim > -1)
+     b AS (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY round(sim, 12) DESC, route) AS rn FROM rs WHERE sim > -1)
 SELECT vec_id, route::INTEGER AS route_pos, printf('%.3f', sim) AS score_label FROM b WHERE rn = 1"""
     q["route_fallback"] = f"""
 WITH {_route_sims('WHERE _e.label % 2 = _c.route % 2 AND _c.route % 2 = 0')},
-     b AS (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY sim DESC, route) AS rn FROM rs WHERE sim > -1)
+     b AS (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY round(sim, 12) DESC, route) AS rn FROM rs WHERE sim > -1)
 SELECT e.vec_id, coalesce('Vectors near label ' || b.route::VARCHAR, {lit(FALLBACK_RESPONSE)}) AS response, b.route IS NOT NULL AS routed
 FROM embeddings e LEFT JOIN b ON b.vec_id = e.vec_id AND b.rn = 1"""
 
@@ -244,7 +244,7 @@ WITH rt(route_pos, name, description, knowledge) AS (VALUES {routes}),
      sims AS (SELECT d.doc_id, rn.route_pos, coalesce(dots.dot, 0) / nullif(sqrt(coalesce(dn.sq, 0)) * rn.norm, 0) AS sim
               FROM documents d CROSS JOIN rn LEFT JOIN dn ON dn.doc_id = d.doc_id
               LEFT JOIN dots ON dots.doc_id = d.doc_id AND dots.route_pos = rn.route_pos),
-     best AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY sim DESC, route_pos) AS rk FROM sims WHERE sim > -1) WHERE rk = 1),
+     best AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY round(sim, 12) DESC, route_pos) AS rk FROM sims WHERE sim > -1) WHERE rk = 1),
      src AS (SELECT d.doc_id, d.text, b.route_pos, rt.name, rt.knowledge FROM documents d LEFT JOIN best b USING (doc_id) LEFT JOIN rt USING (route_pos)),
      cand AS ({extractive('doc_id', 'src', 'text', 'knowledge')})
 SELECT s.doc_id AS prompt_id, s.name,
@@ -317,7 +317,10 @@ WITH kl AS (SELECT unnest(range(1, len(l) + 1)) AS pos, unnest(l) AS line
      b AS (SELECT prompt_id, section_idx FROM (SELECT *, row_number() OVER (PARTITION BY prompt_id ORDER BY score DESC, section_idx) AS rn FROM sc) WHERE rn = 1)
 SELECT prompt_id, step_idx::INTEGER AS step_idx, step FROM b JOIN st USING (section_idx)"""
 
-    q["workflow_plan"] = _workflow_sql()
+    # the first 0, 1, 2, 3 or 5 steps; strip() is Unicode's, blank steps are skipped
+    counts = "[" + ", ".join(map(str, C.WORKFLOW_COUNTS)) + "][(project_id % " + str(len(C.WORKFLOW_COUNTS)) + ") + 1]"
+    q["workflow_plan"] = _workflow_sql([(s.strip(), f"{counts} >= {k}") for k, s in enumerate(C.WORKFLOW_STEPS, start=1) if s.strip()])
+    q["workflow_from_prompt"] = _workflow_sql([(s.strip(), "true") for s in P.PLANNING_KNOWLEDGE.split("\n") if s.strip()])
 
     # sources and sinks
     q["csv_round_trip"] = f"WITH {CHUNKS} SELECT doc_id, chunk_id, text FROM chunks"
@@ -363,10 +366,10 @@ def _valid_labels(x: str, labels) -> str:
     return ALL_OK(RECORDS(x, labels), lambda r: _labels_ok(r, labels))
 
 
-def _workflow_sql() -> str:
-    """W1 for three fixed steps per project (orders as projects): each step
-    renders R9 from the previous result, routes by hashed cosine, answers
-    extractively from the agent's knowledge plus the spec, and refines that
+def _workflow_sql(steps: list[tuple[str, str]]) -> str:
+    """W1 for the given (step, which projects have it), orders as projects: each
+    step renders R9 from the previous result, routes by hashed cosine, answers
+    extractively from the agent's knowledge (the product manager's is R11 over the spec), and refines that
     answer in closed form under the agent's rule; R10 assembles the plan."""
     m = P.MAX_INTERACTIONS
     rules = {
@@ -374,10 +377,9 @@ def _workflow_sql() -> str:
         "program_manager": lambda x: _valid_labels(x, V.FEATURE_LABELS),
         "development_engineer": lambda x: _valid_labels(x, V.TASK_LABELS),
     }
-    agents = {a: k for a, k in (("product_manager", R.SPEC_KNOWLEDGE_HEAD), ("program_manager", P.PGM_KNOWLEDGE),
+    agents = {a: k for a, k in (("product_manager", ""), ("program_manager", P.PGM_KNOWLEDGE),
                                   ("development_engineer", P.DEV_KNOWLEDGE))}
     rt = ", ".join(f"({i}, {lit(n)}, {lit(d)}, {lit(a)}, {lit(agents[a])})" for i, (n, d, a) in enumerate(P.JOB_ROUTES))
-    nl2 = "chr(10) || chr(10)"
     ctes = [f"""
   rt(route_pos, name, description, agent_id, knowledge) AS (VALUES {rt}),
   rb AS (SELECT route_pos, {BUCKET('tok')} AS b, count(*)::DOUBLE AS tf
@@ -392,9 +394,9 @@ def _workflow_sql() -> str:
                   || 'The engineering tasks build the connectors, the classifier and the dashboard.' AS spec
            FROM orders o LEFT JOIN customer c ON o.o_custkey = c.c_custkey)"""]
     rule_case = "CASE f.agent_id " + " ".join(f"WHEN {lit(a)} THEN {fn('c.sent')}" for a, fn in rules.items()) + " ELSE false END"
-    for k, step in enumerate(C.WORKFLOW_STEPS, start=1):
+    for k, (step, has) in enumerate(steps, start=1):
         ctes.append(f"""
-  p{k} AS (SELECT project_id, {lit(R.STEP_1)} || cur || {lit(R.STEP_2 + step + R.STEP_3)} AS prompt, spec FROM cur{k - 1}),
+  p{k} AS (SELECT project_id, {lit(R.STEP_1)} || cur || {lit(R.STEP_2 + step + R.STEP_3)} AS prompt, spec FROM cur{k - 1} WHERE {has}),
   pb{k} AS (SELECT project_id, {BUCKET('tok')} AS b, count(*)::DOUBLE AS tf
             FROM (SELECT project_id, unnest({TOKENS('prompt')}) AS tok FROM p{k}) GROUP BY ALL),
   pn{k} AS (SELECT project_id, sum(tf * tf) AS sq FROM pb{k} GROUP BY ALL),
@@ -403,9 +405,9 @@ def _workflow_sql() -> str:
            FROM p{k} p CROSS JOIN rn LEFT JOIN pn{k} pn ON pn.project_id = p.project_id
            LEFT JOIN d{k} d ON d.project_id = p.project_id AND d.route_pos = rn.route_pos),
   b{k} AS (SELECT project_id, route_pos FROM (
-             SELECT *, row_number() OVER (PARTITION BY project_id ORDER BY sim DESC, route_pos) AS rk FROM s{k} WHERE sim > -1)
+             SELECT *, row_number() OVER (PARTITION BY project_id ORDER BY round(sim, 12) DESC, route_pos) AS rk FROM s{k} WHERE sim > -1)
            WHERE rk = 1),
-  src{k} AS (SELECT p.project_id, p.prompt, b.route_pos, rt.agent_id, concat_ws({nl2}, rt.knowledge, p.spec) AS knowledge
+  src{k} AS (SELECT p.project_id, p.prompt, b.route_pos, rt.agent_id, CASE WHEN rt.agent_id = 'product_manager' THEN {lit(R.SPEC_KNOWLEDGE_HEAD)} || p.spec ELSE rt.knowledge END AS knowledge
              FROM p{k} p LEFT JOIN b{k} b USING (project_id) LEFT JOIN rt USING (route_pos)),
   a{k} AS ({extractive('project_id', f'src{k}', 'prompt', 'knowledge')}),
   f{k} AS (SELECT s.project_id, s.route_pos, s.agent_id, coalesce(a.sent, '') AS first, s.knowledge
@@ -418,15 +420,21 @@ def _workflow_sql() -> str:
                     CASE WHEN f.route_pos IS NULL THEN {lit(FALLBACK_RESPONSE)} ELSE coalesce(c.sent, '') END AS result
              FROM f{k} f LEFT JOIN ok{k} o USING (project_id) LEFT JOIN n{k} n USING (project_id)
              LEFT JOIN r{k} c ON c.project_id = f.project_id AND c.rk = least(coalesce(o.first_ok, {m}), n.n)),
-  cur{k} AS (SELECT r.project_id, r.result AS cur, p.spec FROM res{k} r JOIN p{k} p USING (project_id))""")
+  cur{k} AS (SELECT c.project_id, coalesce(r.result, c.cur) AS cur, c.spec FROM cur{k - 1} c LEFT JOIN res{k} r USING (project_id))""")
     banner = R.BANNER
     h1 = lit("\n" + banner + "\n" + R.REPORT_SECTIONS[0] + "\n" + banner + "\n")
     h2 = lit("\n\n" + banner + "\n" + R.REPORT_SECTIONS[1] + "\n" + banner + "\n")
     h3 = lit("\n\n" + banner + "\n" + R.REPORT_SECTIONS[2] + "\n" + banner + "\n")
-    return "WITH " + ",".join(ctes) + f"""
-SELECT c.project_id, r1.result AS user_stories, r2.result AS product_features, r3.result AS engineering_tasks,
-       {h1} || r1.result || {h2} || r2.result || {h3} || r3.result || chr(10) AS report
-FROM cur0 c JOIN res1 r1 USING (project_id) JOIN res2 r2 USING (project_id) JOIN res3 r3 USING (project_id)"""
+    done = " UNION ALL ".join(f"SELECT project_id, {k} AS k, result FROM res{k}" for k in range(1, len(steps) + 1))
+    return "WITH " + ",".join(ctes) + f""",
+  done AS (SELECT project_id, result, row_number() OVER (PARTITION BY project_id ORDER BY k) AS rn FROM ({done})),
+  secs AS (SELECT project_id, max(CASE WHEN rn = 1 THEN result END) AS s1, max(CASE WHEN rn = 2 THEN result END) AS s2,
+                  max(CASE WHEN rn = 3 THEN result END) AS s3 FROM done GROUP BY project_id),
+  parts AS (SELECT c.project_id, secs.project_id IS NOT NULL AS any_step, coalesce(s1, '') AS s1, coalesce(s2, '') AS s2, coalesce(s3, '') AS s3
+            FROM cur0 c LEFT JOIN secs USING (project_id))
+SELECT project_id, s1 AS user_stories, s2 AS product_features, s3 AS engineering_tasks,
+       CASE WHEN any_step THEN {h1} || s1 || {h2} || s2 || {h3} || s3 || chr(10) ELSE {lit(R.NO_STEPS_MESSAGE)} END AS report
+FROM parts"""
 
 
 ORACLE_SQL = _sql()

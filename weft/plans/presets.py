@@ -15,7 +15,6 @@ from weft.operators.routing import AGENT_SCHEMA, route_table
 PROFESSOR_PERSONA = "You are a college professor; your answers always start with: 'Dear students,'"
 PROFESSOR_PERSONA_KNOWLEDGE = "You are a college professor, your answer always starts with: Dear students,"
 RAG_PERSONA = "You are a college professor, yous answer always starts with: Dear students,"
-EVALUATOR_PERSONA = "You are an evaluation agent that checks the answers of other worker agents"
 CITY_CRITERIA = "The answer should be solely the name of a city, not a sentence."
 MAX_INTERACTIONS = 10
 
@@ -149,8 +148,8 @@ def job_routes(spark: SparkSession) -> DataFrame:
 
 
 def job_agents(spark: SparkSession, pm_knowledge: str = "") -> DataFrame:
-    """The product manager's knowledge is R11 over the product spec; in the
-    table form the spec is per project and appended at run time."""
+    """The product manager's knowledge is R11 over the product spec, which is
+    per project: the workflow renders it for the product manager's rows."""
     rows = [
         ("product_manager", PM_PERSONA, pm_knowledge, PM_CRITERIA, MAX_INTERACTIONS),
         ("program_manager", PGM_PERSONA, PGM_KNOWLEDGE, PGM_CRITERIA, MAX_INTERACTIONS),
