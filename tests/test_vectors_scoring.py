@@ -126,3 +126,26 @@ def test_topk_rejects_k0(spark):
     q = spark.createDataFrame([(1, [1.0])], "id long, vec array<double>")
     with pytest.raises(ValueError):
         top_k_matches(q, "id", q.withColumnRenamed("id", "cid"), ["cid"], kind="dense", k=0)
+
+
+def test_topk_without_common_buckets_and_with_text_ids(spark):
+    """No floor: a query that shares nothing scores 0 and still gets k rows."""
+    emb = HashingEmbedder()
+    q = emb.embed(spark.createDataFrame([("q1", "unheard of"), ("q2", "alpha beta"), ("q3", "")], "qid string, text string"), ["qid"])
+    c = emb.embed(spark.createDataFrame([("c", "alpha"), ("a", "beta gamma"), ("b", "delta")], "cid string, text string"), ["cid"])
+    got = {}
+    for r in top_k_matches(q, "qid", c, ["cid"], k=2, with_rank=True).collect():
+        got.setdefault(r["qid"], []).append((r["rank"], r["cid"], round(r["similarity"], 6)))
+    assert {k: sorted(v) for k, v in got.items()} == {
+        "q1": [(1, "a", 0.0), (2, "b", 0.0)], "q2": [(1, "c", 0.707107), (2, "a", 0.5)]}
+
+
+def test_topk_passes_results_on_when_it_holds_many(spark, monkeypatch):
+    from weft.operators import scoring
+
+    monkeypatch.setattr(scoring, "STATE_ROWS", 4)
+    rng = np.random.default_rng(1)
+    vecs = {i: rng.normal(size=4) for i in range(30)}
+    df = spark.createDataFrame([(i, [float(x) for x in v]) for i, v in vecs.items()], "vec_id long, vec array<double>").repartition(2)
+    got = top_k_matches(df, "vec_id", df.select(F.col("vec_id").alias("cid"), "vec"), ["cid"], kind="dense", k=2, exclude_self=True).collect()
+    assert {(r["vec_id"], r["cid"]) for r in got} == {(q, c) for q, v in _brute(vecs, vecs, 2, exclude_self=True).items() for c, _ in v}

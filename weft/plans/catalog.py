@@ -14,7 +14,7 @@ from weft.functions import validators as V
 from weft.functions.text import is_yes, normalize_ws
 from weft.functions.vectors import cosine
 from weft.operators.chunking import chunk, extract_steps
-from weft.operators.completion import CallableCompleter, ExtractiveCompleter, Rule, complete, max_length_rule, request_hash
+from weft.operators.completion import CallableCompleter, ExtractiveCompleter, ModelJudge, Rule, complete, max_length_rule, request_hash
 from weft.operators.embedding import HashingEmbedder
 from weft.operators.refine import answer_then_refine, refine
 from weft.operators.routing import (
@@ -27,9 +27,26 @@ from weft.operators.routing import (
 from weft.operators.scoring import top_k_matches
 from weft.plans import presets as P
 from weft.plans.planning import parse_sections, plan_steps
-from weft.plans.workflow import rag_answer, rag_top_chunks, route_and_respond, run_workflow, run_workflow_from_prompt
+from weft.plans.workflow import (
+    assemble,
+    rag_answer,
+    rag_top_chunks,
+    route_and_respond,
+    run_workflow,
+    run_workflow_from_prompt,
+    top_chunks_of_index,
+    write_index,
+)
 from weft.session import broadcast_if_small, cut_lineage, scratch_path, spread
-from weft.sources.io import read_chunks_csv, read_whole_text, write_chunks_csv
+from weft.sources.io import (
+    new_run_id,
+    read_chunks_csv,
+    read_embeddings_csv,
+    read_whole_text,
+    write_chunks_csv,
+    write_embeddings,
+    write_plans,
+)
 
 # Parameters of the reference's own runs.
 CHUNK_SIZE, CHUNK_OVERLAP = 500, 200
@@ -170,6 +187,16 @@ def rag_answer_q(spark, d):
     return res.select("item_id", "response")
 
 
+def rag_from_index(spark, d):
+    """The stored index of a run answers the prompts; another run beside it is not read."""
+    path, run_id = scratch_path(spark, "index"), new_run_id()
+    docs = table(spark, d, "documents")
+    write_index(docs, path, run_id, CHUNK_SIZE, CHUNK_OVERLAP)
+    write_index(docs.where("lang = 'en'"), path, new_run_id(), CHUNK_SIZE, CHUNK_OVERLAP)
+    res = top_chunks_of_index(spark, path, run_id, table(spark, d, "benchmark"))
+    return res.select("item_id", "doc_id", "chunk_id", F.round("similarity", 6).alias("similarity"))
+
+
 # ---------------------------------------------------------------------------
 # prompt rendering
 # ---------------------------------------------------------------------------
@@ -306,6 +333,30 @@ def refine_trace(spark, d):
     return trace.select("prompt_id", "iteration", "accepted")
 
 
+SHORTEN = "Shorten the answer."
+MODEL_ROUNDS = 4
+
+
+def judging_client():
+    """A stand-in judge model: R5 prompts are answered by the length of the
+    response in them, R6 requests with a fixed text; both with edge white space."""
+
+    def answer(text: str) -> str:
+        if not text.startswith(R.JUDGE_HEAD):
+            return f"\n {SHORTEN}\t"
+        response = text[len(R.JUDGE_HEAD):].rsplit(R.JUDGE_MID, 1)[0]
+        return "  Yes, it fits.\n" if 1 <= len(response) <= REFINE_MAX_CHARS else "\n No, it does not fit. "
+
+    return lambda batch: [answer(msgs[-1][1] or "") for msgs in batch]
+
+
+def refine_loop_model(spark, d):
+    """The loop itself, judged by a model round by round; its whole trace."""
+    judge = ModelJudge(P.CITY_CRITERIA, CallableCompleter(judging_client))
+    _, trace = refine(refine_requests(spark, d), judge, MODEL_ROUNDS)
+    return trace
+
+
 def answer_then_refine_q(spark, d):
     result, _ = answer_then_refine(refine_requests(spark, d), max_length_rule(REFINE_MAX_CHARS), P.MAX_INTERACTIONS)
     return result.select("prompt_id", "final_response")
@@ -484,13 +535,33 @@ def csv_round_trip(spark, d):
 
 
 def whole_text(spark, d):
+    """One document per file, read back as one value each."""
     path = scratch_path(spark, "documents-text")
-    # each file is read back as one value: bound the rows per file so a value
-    # stays bounded however large the table (sums per language do not change)
-    table(spark, d, "documents").select("lang", "text").write.option("maxRecordsPerFile", 1000).partitionBy("lang").text(path)
-    files = read_whole_text(spark, path)
-    lang = F.regexp_extract("path", "lang=([^/]+)/", 1)
-    return files.groupBy(lang.alias("lang")).agg(F.sum(F.length("text")).alias("chars"))
+    table(spark, d, "documents").select("doc_id", "text").write.partitionBy("doc_id").text(path)
+    doc_id = F.regexp_extract("path", "doc_id=([0-9]+)/", 1).cast("long")
+    return read_whole_text(spark, path).select(doc_id.alias("doc_id"), F.length("text").alias("chars"), F.md5("text").alias("md5"))
+
+
+def embeddings_round_trip(spark, d):
+    """Vectors written as text (S4) and decoded again."""
+    path = scratch_path(spark, "embeddings-csv")
+    emb = table(spark, d, "embeddings").select("vec_id", F.col("embedding").cast("array<double>").alias("embedding"))
+    write_embeddings(emb, path, fmt="csv")
+    back = read_embeddings_csv(spark, path, "vec_id long, embedding string")
+    total = F.aggregate("embedding", F.lit(0.0), lambda s, x: s + x)
+    return back.select("vec_id", F.size("embedding").alias("n"), F.round(total, 6).alias("total"),
+                       F.round(F.element_at("embedding", 1), 9).alias("first"), F.round(F.element_at("embedding", -1), 9).alias("last"))
+
+
+def plan_output(spark, d):
+    """Plans assembled from zero to three results and written as text (S9); the
+    lines of the files."""
+    orders = table(spark, d, "orders").select(
+        F.col("o_orderkey").alias("project_id"), F.array("o_orderstatus", "o_orderpriority", F.col("o_custkey").cast("string")).alias("texts"))
+    results = orders.select("project_id", F.posexplode(F.slice("texts", F.lit(1), (F.col("project_id") % 4).cast("int"))).alias("step_idx", "result"))
+    path = scratch_path(spark, "plans")
+    write_plans(assemble(orders.select("project_id"), results), path, fmt="text")
+    return spark.read.text(path).groupBy(F.col("value").alias("line")).agg(F.count(F.lit(1)).alias("n"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -524,6 +595,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "answer_then_refine": answer_then_refine_q,
     "route_respond": route_respond,
     "rag_answer": rag_answer_q,
+    "rag_from_index": rag_from_index,
+    "refine_loop_model": refine_loop_model,
+    "embeddings_round_trip": embeddings_round_trip,
+    "plan_output": plan_output,
     "validate_stories": validate_stories,
     "validate_features": validate_features,
     "validate_tasks": validate_tasks,

@@ -324,7 +324,30 @@ SELECT prompt_id, step_idx::INTEGER AS step_idx, step FROM b JOIN st USING (sect
 
     # sources and sinks
     q["csv_round_trip"] = f"WITH {CHUNKS} SELECT doc_id, chunk_id, text FROM chunks"
-    q["whole_text"] = "SELECT lang, sum(length(text) + 1)::BIGINT AS chars FROM documents GROUP BY lang"
+    q["whole_text"] = "SELECT doc_id, (length(coalesce(text, '')) + 1)::INTEGER AS chars, md5(coalesce(text, '') || chr(10)) AS md5 FROM documents"
+    q["embeddings_round_trip"] = """
+SELECT vec_id, len(embedding)::INTEGER AS n, round(list_sum(embedding::DOUBLE[]), 6) AS total,
+       round(embedding[1]::DOUBLE, 9) AS first, round(embedding[-1]::DOUBLE, 9) AS last FROM embeddings"""
+    q["rag_from_index"] = q["rag_top1"]
+    texts = [f"CASE WHEN o_orderkey % 4 >= {i} THEN {c} ELSE '' END" for i, c in enumerate(("o_orderstatus", "o_orderpriority", "o_custkey::VARCHAR"), start=1)]
+    q["plan_output"] = f"""
+SELECT line, count(*) AS n FROM (
+  SELECT unnest(string_split(CASE WHEN o_orderkey % 4 = 0 THEN {lit(R.NO_STEPS_MESSAGE)} ELSE {REPORT(*texts)} END, chr(10))) AS line FROM orders)
+GROUP BY line"""
+    yes, no = lit("Yes, it fits."), lit("No, it does not fit.")
+    fits = f"length(resp) BETWEEN 1 AND {C.REFINE_MAX_CHARS}"
+    q["refine_loop_model"] = f"""WITH {REQ},
+     cand AS ({extractive('prompt_id', 'req', 'prompt', 'knowledge')}),
+     nc AS (SELECT prompt_id, max(n) AS n FROM cand GROUP BY ALL),
+     it AS (SELECT r.prompt_id, r.prompt AS initial, coalesce(nc.n, 0) AS n, unnest(range(1, {C.MODEL_ROUNDS + 1})) AS i FROM req r LEFT JOIN nc USING (prompt_id)),
+     ans AS (SELECT it.prompt_id, it.initial, it.i, coalesce(c.sent, '') AS resp FROM it LEFT JOIN cand c ON c.prompt_id = it.prompt_id AND c.rk = least(it.i, it.n)),
+     seen AS (SELECT *, {fits} AS ok, lag(resp) OVER w AS prev, coalesce(max(CASE WHEN {fits} THEN 1 ELSE 0 END) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS done
+              FROM ans WINDOW w AS (PARTITION BY prompt_id ORDER BY i))
+SELECT prompt_id, i::INTEGER AS iteration,
+       CASE WHEN i = 1 THEN initial ELSE {lit(R.RETRY_1)} || initial || {lit(R.RETRY_2)} || prev || {lit(R.RETRY_3 + C.SHORTEN)} END AS prompt,
+       resp AS response, CASE WHEN ok THEN {yes} ELSE {no} END AS evaluation, ok AS accepted,
+       CASE WHEN NOT ok AND i < {C.MODEL_ROUNDS} THEN {lit(C.SHORTEN)} END AS instructions
+FROM seen WHERE done = 0"""
     return q
 
 
@@ -366,6 +389,11 @@ def _valid_labels(x: str, labels) -> str:
     return ALL_OK(RECORDS(x, labels), lambda r: _labels_ok(r, labels))
 
 
+def REPORT(s1: str, s2: str, s3: str) -> str:
+    heads = [lit(gap + R.BANNER + "\n" + title + "\n" + R.BANNER + "\n") for gap, title in zip(("\n", "\n\n", "\n\n"), R.REPORT_SECTIONS)]
+    return f"{heads[0]} || {s1} || {heads[1]} || {s2} || {heads[2]} || {s3} || chr(10)"
+
+
 def _workflow_sql(steps: list[tuple[str, str]]) -> str:
     """W1 for the given (step, which projects have it), orders as projects: each
     step renders R9 from the previous result, routes by hashed cosine, answers
@@ -421,10 +449,6 @@ def _workflow_sql(steps: list[tuple[str, str]]) -> str:
              FROM f{k} f LEFT JOIN ok{k} o USING (project_id) LEFT JOIN n{k} n USING (project_id)
              LEFT JOIN r{k} c ON c.project_id = f.project_id AND c.rk = least(coalesce(o.first_ok, {m}), n.n)),
   cur{k} AS (SELECT c.project_id, coalesce(r.result, c.cur) AS cur, c.spec FROM cur{k - 1} c LEFT JOIN res{k} r USING (project_id))""")
-    banner = R.BANNER
-    h1 = lit("\n" + banner + "\n" + R.REPORT_SECTIONS[0] + "\n" + banner + "\n")
-    h2 = lit("\n\n" + banner + "\n" + R.REPORT_SECTIONS[1] + "\n" + banner + "\n")
-    h3 = lit("\n\n" + banner + "\n" + R.REPORT_SECTIONS[2] + "\n" + banner + "\n")
     done = " UNION ALL ".join(f"SELECT project_id, {k} AS k, result FROM res{k}" for k in range(1, len(steps) + 1))
     return "WITH " + ",".join(ctes) + f""",
   done AS (SELECT project_id, result, row_number() OVER (PARTITION BY project_id ORDER BY k) AS rn FROM ({done})),
@@ -433,7 +457,7 @@ def _workflow_sql(steps: list[tuple[str, str]]) -> str:
   parts AS (SELECT c.project_id, secs.project_id IS NOT NULL AS any_step, coalesce(s1, '') AS s1, coalesce(s2, '') AS s2, coalesce(s3, '') AS s3
             FROM cur0 c LEFT JOIN secs USING (project_id))
 SELECT project_id, s1 AS user_stories, s2 AS product_features, s3 AS engineering_tasks,
-       CASE WHEN any_step THEN {h1} || s1 || {h2} || s2 || {h3} || s3 || chr(10) ELSE {lit(R.NO_STEPS_MESSAGE)} END AS report
+       CASE WHEN any_step THEN {REPORT('s1', 's2', 's3')} ELSE {lit(R.NO_STEPS_MESSAGE)} END AS report
 FROM parts"""
 
 
