@@ -10,7 +10,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
 #: Text units of one Arrow slice worked on at a time inside a task.
-SLICE_CHARS = 8_000_000
+SLICE_CHARS = 4_000_000
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -17,8 +17,8 @@ from pyspark.sql import SparkSession
 
 DEFAULT_TOKENIZER = "word_bpe_49k.json"
 END_ID = 2
-#: Entries of a Python worker's dictionary of encoded word parts (about 120 MB).
-CACHE_ENTRIES = 700_000
+#: Entries of a Python worker's dictionary of encoded word parts (about 70 MB).
+CACHE_ENTRIES = 400_000
 
 # Separators Python splits on but the tokenizer's \s does not know.
 _ODD_SPACE = re.compile("[\x1c-\x1f]")

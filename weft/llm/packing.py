@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 
 from weft.llm.common import texts
 from weft.llm.encoding import END_ID, broadcast_tokenizer, encoder
-from weft.session import cut_lineage, ship_package
+from weft.session import broadcast_if_small, cut_lineage, ship_package
 
 CAPACITY = 4096
 #: Width of a length class; the padding it costs is at most this per piece.
@@ -68,32 +68,49 @@ def _best_pattern(prices: np.ndarray, sizes: np.ndarray, capacity: int) -> tuple
     return float(best[capacity]), counts
 
 
+def _inverse(matrix: np.ndarray) -> np.ndarray:
+    """Gauss-Jordan with row pivoting, in plain array operations: the driver's
+    cores are Spark's, and threaded linear algebra would fight it for them."""
+    m = len(matrix)
+    work = np.hstack([matrix, np.eye(m)])
+    for j in range(m):
+        pivot = j + int(np.abs(work[j:, j]).argmax())
+        work[[j, pivot]] = work[[pivot, j]]
+        work[j] /= work[j, j]
+        factor = work[:, j].copy()
+        factor[j] = 0
+        work -= factor[:, None] * work[j][None, :]
+    return work[:, m:]
+
+
 def generate_columns(sizes: np.ndarray, demand: np.ndarray, capacity: int, tolerance: float = TOLERANCE, max_rounds: int = 5000) -> tuple[np.ndarray, np.ndarray]:
     """Patterns (one per row) and how often each is used by the linear program
     ``min sum x, patterns' x = demand``."""
     m = len(sizes)
     basis = np.diag((capacity // sizes).astype(float))  # column j: pattern of basis position j
     inverse = np.diag(1.0 / np.diag(basis))
-    x = inverse @ demand
+    # plain loops: matrices this small only lose by the library's threads
+    times = lambda matrix, vector: np.einsum("ij,j->i", matrix, vector)
+    x = times(inverse, demand)
     for step in range(max_rounds):
         prices = inverse.sum(axis=0)
         value, column = _best_pattern(np.maximum(prices, 0), sizes, capacity)
         if value <= 1 + tolerance:  # Farley's bound: the program is within that factor of its optimum
             break
-        direction = inverse @ column
+        direction = times(inverse, column)
         ok = direction > 1e-9
         if not ok.any():
             break
         ratio = np.where(ok, x / np.where(ok, direction, 1), np.inf)
         leave = int(ratio.argmin())
         basis[:, leave] = column
-        if step % 64 == 63:
-            inverse = np.linalg.inv(basis)
+        if step % 256 == 255:
+            inverse = _inverse(basis)
         else:
             row = inverse[leave] / direction[leave]
             inverse -= np.outer(direction, row)
             inverse[leave] = row
-        x = np.maximum(inverse @ demand, 0)
+        x = np.maximum(times(inverse, demand), 0)
     return basis.T[:m], x
 
 
@@ -170,7 +187,6 @@ def cut_pieces(docs: DataFrame, tokenizer: str | None = None, end_id: int | None
 def pack(pieces: DataFrame, capacity: int = CAPACITY, quantum: int = QUANTUM, group_rows: int = GROUP_ROWS) -> DataFrame:
     """``pieces`` (doc_id, start, length <= capacity, ids_crc32, ...) with
     sequence_id and offset. ``pieces`` is read several times: pass a written table."""
-    ship_package(pieces.sparkSession)
     units = capacity // quantum
     sized = pieces.withColumn("_class", F.least(F.ceil(F.col("length") / quantum), F.lit(units)).cast("int"))
     counts = {int(r["_class"]): int(r["n"]) for r in sized.groupBy("_class").agg(F.count(F.lit(1)).alias("n")).collect()}
@@ -191,27 +207,18 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, quantum: int = QUANTUM, gr
             seen[r["_class"]] = seen.get(r["_class"], 0) + r["count"]
     order = Window.partitionBy("_class", "_group").orderBy(F.asc_nulls_first("doc_id"), "start", "ids_crc32")
     ranked = grouped.withColumn("_rank", F.row_number().over(order) - 1)
-    shared = pieces.sparkSession.sparkContext.broadcast((table, first))
-    kept = list(pieces.columns)
-
-    def place(batches):
-        table, first = shared.value
-        for batch in batches:
-            classes = batch.column("_class").to_numpy()
-            group = batch.column("_group").to_numpy()
-            rank = batch.column("_rank").to_numpy().astype(np.int64)
-            out = np.zeros(batch.num_rows, np.int64)
-            for c in np.unique(classes):
-                of = np.nonzero(classes == c)[0]
-                base = np.array([first.get((int(c), int(g)), 0) for g in group[of]], np.int64)
-                ranks, sequences, per = table[int(c)]
-                r = rank[of] + base
-                k = np.searchsorted(ranks, r, side="right") - 1
-                out[of] = sequences[k] + (r - ranks[k]) // per[k]
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), pa.array(out)], names=[*kept, "sequence_id"])
-
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pieces.schema.fields)
-    placed = ranked.mapInArrow(place, f"{fields}, sequence_id long")
+    spark = pieces.sparkSession
+    if many:
+        bases = spark.createDataFrame([(c, g, n) for (c, g), n in first.items()], "_class int, _group int, _base long")
+        ranked = ranked.join(broadcast_if_small(bases, 1_000_000), ["_class", "_group"], "left").withColumn("_rank", F.col("_rank") + F.coalesce("_base", F.lit(0)))
+    # one row per class: its patterns' first ranks, first sequences and pieces per sequence
+    rows = [(c, *(a.tolist() for a in columns)) for c, columns in table.items()]
+    of_class = spark.createDataFrame(rows, "_class int, _ranks array<long>, _sequences array<long>, _per array<long>")
+    k = F.size(F.filter("_ranks", lambda x: x <= F.col("_rank")))
+    placed = ranked.join(F.broadcast(of_class), "_class").withColumn("_k", k).select(
+        *pieces.columns,
+        (F.element_at("_sequences", F.col("_k")) + F.floor((F.col("_rank") - F.element_at("_ranks", F.col("_k"))) / F.element_at("_per", F.col("_k")))).cast("long").alias("sequence_id"),
+    )
     inside = Window.partitionBy("sequence_id").orderBy(F.desc("length"), F.asc_nulls_first("doc_id"), "start", "ids_crc32")
     return placed.withColumn("offset", F.sum("length").over(inside.rowsBetween(Window.unboundedPreceding, 0)) - F.col("length"))
 

@@ -42,7 +42,7 @@ SAMPLE_ROWS = 20_000
 STEMS = (4, 5, 6)
 THRESHOLD = 0.3
 #: Entries of a worker's dictionary of words already looked at.
-CACHE_ENTRIES = 500_000
+CACHE_ENTRIES = 150_000
 
 # Second-person pronouns of the languages served.
 SECOND_PERSON = frozenset(
