@@ -105,9 +105,9 @@ MAX_BROADCAST_BYTES = 256 << 20
 
 
 def row_bytes(df: DataFrame):
-    """An upper-bound estimate of one row's payload: string and binary
-    lengths, 8 bytes per array element or scalar (nested values count their
-    elements once), as a column."""
+    """An estimate of one row's payload from above: string and binary lengths,
+    8 bytes per scalar or element of an array of scalars, twice the JSON text of
+    other nested values, as a column."""
     from pyspark.sql import functions as F
     from pyspark.sql import types as T
 
@@ -116,8 +116,11 @@ def row_bytes(df: DataFrame):
         c = F.col(f"`{f.name}`")
         if isinstance(f.dataType, (T.StringType, T.BinaryType)):
             parts.append(F.coalesce(F.octet_length(c), F.lit(0)))
-        elif isinstance(f.dataType, (T.ArrayType, T.MapType)):
+        elif isinstance(f.dataType, T.ArrayType) and isinstance(f.dataType.elementType, (T.NumericType, T.BooleanType, T.DatetimeType)):
             parts.append(F.coalesce(F.size(c), F.lit(0)) * 8 + 16)
+        elif isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType)):
+            # nested values: their text form, twice over for offsets
+            parts.append(F.coalesce(F.octet_length(F.to_json(F.struct(c.alias("v")))), F.lit(0)) * 2)
         else:
             parts.append(F.lit(8))
     total = F.lit(0).cast("long")
