@@ -9,6 +9,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
+from weft.operators.side import open_folder  # noqa: F401
+
 #: Text units of one Arrow slice worked on at a time inside a task.
 SLICE_CHARS = 4_000_000
 
@@ -35,14 +37,3 @@ def text_slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_CHARS) ->
         hi = max(lo + 1, int(np.searchsorted(total, base + limit, side="right")))
         yield batch.slice(lo, hi - lo)
         lo = hi
-
-
-def open_folder(path: str):
-    """The Arrow file system of a shared folder named by path or URI, and the
-    path in it (for files that tasks write or read themselves)."""
-    from pyarrow import fs
-
-    for known, plain in (("file:/", "file:///"), ("s3a:/", "s3:/")):
-        if path.startswith(known) and not path.startswith("file://"):
-            path = plain + path[len(known) :].lstrip("/") if known == "file:/" else plain + path[len(known) :]
-    return fs.FileSystem.from_uri(path)
