@@ -37,3 +37,14 @@ def text_slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_CHARS) ->
         hi = max(lo + 1, int(np.searchsorted(total, base + limit, side="right")))
         yield batch.slice(lo, hi - lo)
         lo = hi
+
+
+def frugal(task):
+    """``task`` for ``mapInArrow`` that gives Arrow's freed memory back when it
+    ends: Python workers live on, next to others on their executor."""
+
+    def run(batches):
+        yield from task(batches)
+        pa.default_memory_pool().release_unused()
+
+    return run

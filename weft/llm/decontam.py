@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weft.llm.common import texts
+from weft.llm.common import frugal, texts
 from weft.session import cut_lineage, ship_package
 
 ERROR_RATE = 0.05
@@ -173,7 +173,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, error_rate: float = ERRO
                     d, i, e = zip(*rows)
                     yield pa.RecordBatch.from_arrays([pa.array(d, pa.int64()), pa.array(i, pa.int64()), pa.array(np.array(e, np.int32))], names=["doc_id", "item_id", "distance"])
 
-        parts.append(wanted.mapInArrow(match, schema))
+        parts.append(wanted.mapInArrow(frugal(match), schema))
     if not parts:
         return spark.createDataFrame([], schema)
     out = parts[0]

@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weft.llm.common import text_slices, texts
+from weft.llm.common import frugal, text_slices, texts
 from weft.session import ship_package
 
 #: Width of the smoothing, in blocks, and factor of the standard deviation.
@@ -241,4 +241,4 @@ def extract(pages: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([part.column("page_id"), part.column("url"), pa.array(found, pa.string()), pa.array([len(t) for t in found], pa.int64())], names=["page_id", "url", "text", "n_chars"])
 
     wanted = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html"))
-    return wanted.mapInArrow(task, "page_id long, url string, text string, n_chars long")
+    return wanted.mapInArrow(frugal(task), "page_id long, url string, text string, n_chars long")

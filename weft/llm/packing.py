@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from weft.llm.common import texts
+from weft.llm.common import frugal, texts
 from weft.llm.encoding import END_ID, broadcast_tokenizer, encoder
 from weft.session import broadcast_if_small, cut_lineage, ship_package
 
@@ -181,7 +181,7 @@ def cut_pieces(docs: DataFrame, tokenizer: str | None = None, end_id: int | None
                 columns = list(zip(*rows)) or [[]] * 6
                 yield pa.RecordBatch.from_arrays([*(pa.array(c, pa.int64()) for c in columns[:5]), pa.array(columns[5], pa.binary())], names=["doc_id", "start", "length", "doc_tokens", "ids_crc32", "ids"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(cut, PIECE_SCHEMA)
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(frugal(cut), PIECE_SCHEMA)
 
 
 def pack(pieces: DataFrame, capacity: int = CAPACITY, quantum: int = QUANTUM, group_rows: int = GROUP_ROWS) -> DataFrame:

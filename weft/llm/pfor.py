@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceReader, InputPartition, WriterCommitMessage
 
-from weft.llm.common import open_folder, texts
+from weft.llm.common import frugal, open_folder, texts
 from weft.llm.encoding import END_ID, broadcast_tokenizer, encoder
 from weft.session import ship_package
 
@@ -315,7 +315,7 @@ def encode_documents(docs: DataFrame, tokenizer: str | None = None, end_id: int
                 part = batch.slice(lo, 256)
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array([enc.ids(t) + tail for t in texts(part.column("text"))], pa.binary())], names=["doc_id", "ids"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(encode, "doc_id long, ids binary")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(frugal(encode), "doc_id long, ids binary")
 
 
 def in_id_order(docs: DataFrame) -> DataFrame:

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weft.llm.common import texts
+from weft.llm.common import frugal, texts
 from weft.llm.components import components
 from weft.session import cut_lineage, ship_package
 
@@ -73,7 +73,7 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE, seed: int = SEED) -> D
             found = np.fromiter((fingerprint(t, shingle, seed) for t in texts(batch.column("text"))), np.uint64, batch.num_rows)
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(found.view(np.int64))], names=["doc_id", "fp"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(task, "doc_id long, fp long")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(frugal(task), "doc_id long, fp long")
 
 
 def _block_masks(distance: int) -> list[int]:

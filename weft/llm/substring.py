@@ -42,7 +42,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from weft.llm.common import text_slices, texts
+from weft.llm.common import frugal, text_slices, texts
 from weft.session import broadcast_if_small, cut_lineage, ship_package
 
 WINDOW = 20
@@ -188,7 +188,7 @@ def build_sketch(docs: DataFrame, window: int, cells: int) -> list[np.ndarray]:
             yield result()
 
     # one sketch per core, not per file split: a sketch costs the same however little it saw
-    parts = docs.coalesce(spark.sparkContext.defaultParallelism).mapInArrow(local, "r int, k int, once binary, twice binary")
+    parts = docs.coalesce(spark.sparkContext.defaultParallelism).mapInArrow(frugal(local), "r int, k int, once binary, twice binary")
     whole = parts.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "r", "k").sortWithinPartitions("r", "k").mapInArrow(merged, "r int, k int, twice binary")
     out = [np.zeros(cells // 8, np.uint8) for _ in range(2)]
     for row in whole.toLocalIterator():  # at most 2 x cells bits in all
@@ -251,7 +251,7 @@ def repeated_runs(docs: DataFrame, window: int = WINDOW, max_cells: int = MAX_CE
                     d, s, m = _runs(doc[later], start[later])
                     yield pa.RecordBatch.from_arrays([pa.array(np.ones(len(d), np.int8)), pa.array(d), pa.array(s), pa.array(d), pa.array(s), pa.array(m)], names=["known", "h1", "h2", "doc_id", "start", "n"])
 
-    found = known.mapInArrow(second, "known byte, h1 long, h2 long, doc_id long, start long, n long")
+    found = known.mapInArrow(frugal(second), "known byte, h1 long, h2 long, doc_id long, start long, n long")
     first = Window.partitionBy("known", "h1", "h2").orderBy("doc_id", "start")
     later = found.withColumn("_rank", F.rank().over(first)).where("known = 1 OR _rank > 1")
 
@@ -298,4 +298,4 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, max_cells: int = MAX_C
                 yield pa.RecordBatch.from_arrays([*(pa.array(c, pa.int64()) for c in columns[:3]), *(pa.array(c, pa.string()) for c in columns[3:])], names=["doc_id", "n_words", "n_removed", "kept_text", "kept_sha256"])
 
     joined = plain.join(runs, "doc_id", "left").select("doc_id", "text", "starts", "ns")
-    return joined.mapInArrow(drop, "doc_id long, n_words long, n_removed long, kept_text string, kept_sha256 string")
+    return joined.mapInArrow(frugal(drop), "doc_id long, n_words long, n_removed long, kept_text string, kept_sha256 string")

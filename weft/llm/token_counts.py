@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weft.llm.common import texts
+from weft.llm.common import frugal, texts
 from weft.llm.encoding import broadcast_tokenizer, encoder
 from weft.session import ship_package
 
@@ -104,4 +104,4 @@ def section_counts(docs: DataFrame, tokenizer: str | None = None, splitter: Call
                 yield pa.RecordBatch.from_arrays([ids, pa.array(number, pa.int32()), pa.array(begins), pa.array(cat(2)), pa.array(cat(3), pa.int64()), pa.array(cat(4), pa.int64())], names=["doc_id", "section", "start_char", "end_char", "n_tokens", "n_crossing"])
 
     wanted = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return wanted.mapInArrow(task, "doc_id long, section int, start_char long, end_char long, n_tokens long, n_crossing long")
+    return wanted.mapInArrow(frugal(task), "doc_id long, section int, start_char long, end_char long, n_tokens long, n_crossing long")

@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from weft.llm.boosting import fit_isotonic, fit_trees
-from weft.llm.common import text_slices, texts
+from weft.llm.common import frugal, text_slices, texts
 from weft.session import cut_lineage, ship_package
 
 SAMPLE_ROWS = 20_000
@@ -101,7 +101,7 @@ def _contexts(sample: DataFrame, only=None) -> DataFrame:
                     names, places = zip(*found)
                     yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array(places, pa.int64())], names=["term", "at"])
 
-    return sample.select("text").mapInArrow(task, "term string, at long").distinct().groupBy("term").agg(F.count(F.lit(1)).alias("n"))
+    return sample.select("text").mapInArrow(frugal(task), "term string, at long").distinct().groupBy("term").agg(F.count(F.lit(1)).alias("n"))
 
 
 def learn_lexicon(sample: DataFrame) -> dict[str, float]:
@@ -215,7 +215,7 @@ def _feature_rows(docs: DataFrame, lexicon: dict[str, float]) -> DataFrame:
                 rows = np.array([features(t, words) for t in texts(part.column("text"))], float).reshape(part.num_rows, len(FEATURES))
                 yield pa.RecordBatch.from_arrays([part.column(c) for c in ("fold", "toxic")] + [pa.FixedSizeListArray.from_arrays(pa.array(rows.ravel()), len(FEATURES)).cast(pa.list_(pa.float64()))], names=["fold", "toxic", "x"])
 
-    return docs.select("fold", "toxic", "text").mapInArrow(task, "fold int, toxic int, x array<double>")
+    return docs.select("fold", "toxic", "text").mapInArrow(frugal(task), "fold int, toxic int, x array<double>")
 
 
 def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Model:
@@ -257,7 +257,7 @@ def score(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFr
                 found = _scores(part, shared.value, words)
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(found), pa.array((found >= threshold).astype(np.int32))], names=[*kept, "score", "predicted"])
 
-    return docs.mapInArrow(task, T.StructType([*docs.schema, T.StructField("score", T.DoubleType()), T.StructField("predicted", T.IntegerType())]))
+    return docs.mapInArrow(frugal(task), T.StructType([*docs.schema, T.StructField("score", T.DoubleType()), T.StructField("predicted", T.IntegerType())]))
 
 
 def drop_toxic(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
@@ -272,7 +272,7 @@ def drop_toxic(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> D
             for part in text_slices(batch, "text"):
                 yield part.filter(pa.array(_scores(part, shared.value, words) < threshold))
 
-    return docs.mapInArrow(task, docs.schema)
+    return docs.mapInArrow(frugal(task), docs.schema)
 
 
 def _scores(batch: pa.RecordBatch, model: Model, words: _Words) -> np.ndarray:
