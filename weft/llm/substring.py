@@ -52,6 +52,8 @@ MAX_CELLS = 1 << 28
 CHARS_PER_WORD = 6
 #: Bits of one chunk that partition sketches are merged by.
 CHUNK_BITS = 1 << 19
+#: Characters that one partition sketch covers at least.
+SKETCH_CHARS = 1_000_000_000
 #: Characters of text whose words a task holds at once.
 SLICE_CHARS = 2_000_000
 #: Most bytes of runs that are broadcast.
@@ -146,17 +148,17 @@ def estimated_repeated(twice: list[np.ndarray], cells: int, h1: np.ndarray, h2:
     return keep
 
 
-def sketch_cells(docs: DataFrame, max_cells: int = MAX_CELLS) -> int:
+def sketch_cells(chars: int, max_cells: int = MAX_CELLS) -> int:
     """A power of two of at least four cells per word expected, up to ``max_cells``."""
-    chars = docs.agg(F.sum(F.octet_length("text").cast("long")).alias("n")).first()["n"] or 0
     cells = CHUNK_BITS
     while cells < min(max_cells, 4 * chars // CHARS_PER_WORD):
         cells *= 2
     return cells
 
 
-def build_sketch(docs: DataFrame, window: int, cells: int) -> list[np.ndarray]:
-    """The merged "at least two" bitmaps (``cells`` bits each)."""
+def build_sketch(docs: DataFrame, window: int, cells: int, chars: int) -> list[np.ndarray]:
+    """The merged "at least two" bitmaps (``cells`` bits each) of ``chars``
+    characters of text."""
     spark = docs.sparkSession
     step = CHUNK_BITS // 8
 
@@ -187,8 +189,10 @@ def build_sketch(docs: DataFrame, window: int, cells: int) -> list[np.ndarray]:
         if at is not None:
             yield result()
 
-    # one sketch per core, not per file split: a sketch costs the same however little it saw
-    parts = docs.coalesce(spark.sparkContext.defaultParallelism).mapInArrow(frugal(local), "r int, k int, once binary, twice binary")
+    # a sketch costs the same however little it saw: one per core, not per file
+    # split, and one per SKETCH_CHARS where that is more, so that tasks stay short
+    n = max(spark.sparkContext.defaultParallelism, chars // SKETCH_CHARS)
+    parts = docs.coalesce(n).mapInArrow(frugal(local), "r int, k int, once binary, twice binary")
     whole = parts.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "r", "k").sortWithinPartitions("r", "k").mapInArrow(merged, "r int, k int, twice binary")
     out = [np.zeros(cells // 8, np.uint8) for _ in range(2)]
     for row in whole.toLocalIterator():  # at most 2 x cells bits in all
@@ -227,8 +231,9 @@ def repeated_runs(docs: DataFrame, window: int = WINDOW, max_cells: int = MAX_CE
     spark = docs.sparkSession
     ship_package(spark)
     known = docs.where("doc_id IS NOT NULL AND text IS NOT NULL")
-    cells = sketch_cells(known, max_cells)
-    sketch = spark.sparkContext.broadcast((build_sketch(known, window, cells), cells))
+    chars = known.agg(F.sum(F.octet_length("text").cast("long")).alias("n")).first()["n"] or 0
+    cells = sketch_cells(chars, max_cells)
+    sketch = spark.sparkContext.broadcast((build_sketch(known, window, cells, chars), cells))
 
     def second(batches):
         for batch in batches:
