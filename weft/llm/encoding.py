@@ -19,6 +19,8 @@ DEFAULT_TOKENIZER = "word_bpe_49k.json"
 END_ID = 2
 #: Entries of a Python worker's dictionary of encoded word parts (about 70 MB).
 CACHE_ENTRIES = 400_000
+#: Longer parts are not kept.
+KEPT_CHARS = 64
 
 # Separators Python splits on but the tokenizer's \s does not know.
 _ODD_SPACE = re.compile("[\x1c-\x1f]")
@@ -72,7 +74,9 @@ class _Parts(dict):
         if len(self) >= CACHE_ENTRIES:
             self.clear()
         letters = part if part.isascii() else part.encode().decode("latin-1").translate(self.letters)
-        ids = self[part] = _packed([t.id for t in self.model.tokenize(letters)])
+        ids = _packed([t.id for t in self.model.tokenize(letters)])
+        if len(part) < KEPT_CHARS:
+            self[part] = ids
         return ids
 
 
@@ -92,7 +96,7 @@ class _Words:
             return b"".join(map(self.parts.__getitem__, _PARTS.findall(chunk.lower())))
         if (known := self.parts.get(chunk)) is None:
             known = _packed(self.tokenizer.encode(chunk, add_special_tokens=False).ids)
-            if len(chunk) < 64 and chunk != chunk.lower():
+            if len(chunk) < KEPT_CHARS and chunk != chunk.lower():
                 self.parts[chunk] = known
         return known
 
