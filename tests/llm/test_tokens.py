@@ -128,7 +128,7 @@ def check_packing(rows, docs_tokens, capacity):
     return sequences, total
 
 
-@pytest.mark.parametrize("group_rows", [50_000, 3])
+@pytest.mark.parametrize("group_rows", [20_000, 3])
 def test_packing_is_whole(spark, make, enc, group_rows):
     docs_tokens = {}
     for doc, text in ODD:

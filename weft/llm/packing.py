@@ -43,7 +43,7 @@ QUANTUM = 16
 #: Relative gap to the linear program's bound at which column generation ends.
 TOLERANCE = 3e-3
 #: Pieces ranked in one group.
-GROUP_ROWS = 50_000
+GROUP_ROWS = 20_000
 
 
 # ---------------------------------------------------------------------------
