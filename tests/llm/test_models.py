@@ -76,6 +76,46 @@ def test_proposals_recover_swallowed_numbers(make):
     assert got[203] == ""
 
 
+def coded_rows():
+    """Cards after cue words that pass the checksum, ids after code words that fail it."""
+    rnd, rows = random.Random(5), []
+    while len(rows) < 400:
+        number = str(rnd.randrange(10**15, 10**16))
+        if luhn(number) and len(rows) < 200:
+            rows.append((len(rows), f"pay card {number} to +1 (0{rnd.randrange(10, 99)}) 555-{rnd.randrange(1000, 9999)}, or a{len(rows)}@b.org"))
+        elif not luhn(number) and len(rows) >= 200:
+            rows.append((len(rows), f"see {rnd.choice(('sku', 'id', 'token'))} {number} there"))
+    return rows
+
+
+def test_the_model_decides_by_context(make):
+    """The same national phone, spelled email and swallowed card after a cue and after a code word."""
+    card = "4465758382889437"
+    cases = ["call 555-123-4567 now", "sku 555-123-4567 now", "mail bob (at) site (dot) org now", "id bob (at) site (dot) org now", f"visa {card} 27.65.93.188 y", f"token {card} 27.65.93.188 y"]
+    got = {r[0]: r["spans"] for r in found_spans(pii.find(make([*coded_rows(), *((1000 + i, c) for i, c in enumerate(cases))])))}
+    assert [got[1000 + i].partition(",")[0] for i in range(4)] == ["phone:5:17", "", "email:5:28", ""]
+    assert "card:5:21" in got[1004] and "card" not in got[1005]
+
+
+def test_the_model_learns_from_the_context_and_is_calibrated_on_other_rows(make, monkeypatch):
+    seen = []
+    monkeypatch.setattr(pii, "fit_isotonic", lambda margin, y: seen.append(len(y)) or boosting.fit_isotonic(margin, y))
+    monkeypatch.setattr(pii, "fit_trees", lambda x, y, **k: seen.append(len(y)) or boosting.fit_trees(x, y, **k))
+    assert "valid" not in pii.FEATURES
+    found = pii.with_matches(make(coded_rows()))
+    model = pii.train(found)
+    assert pii.FEATURES.index("code") in model.trees[0].features
+    assert seen[0] == seen[1] and 0 < seen[2] < seen[0]
+
+
+def test_cards_of_15_digits_are_found(make):
+    short = "378282246310005"
+    rows = [*coded_rows(), *((2000 + i, f"pay card {n} now") for i, n in enumerate(str(10**14 * 37 // 10 + 7 * k) for k in range(2000)) if luhn(n))][:560]
+    rows += [(9000, f"pay card {short} now"), (9001, f"pay card {short[:-1]}6 now")]
+    got = {r[0]: r["spans"] for r in found_spans(pii.find(make(rows)))}
+    assert got[9000] == "card:9:24" and got[9001] == ""
+
+
 def test_pii_on_odd_and_empty_tables(make):
     got = sorted(((r[0], *r[1:6]) for r in found_spans(pii.find(make(ODD)))), key=str)
     assert got == sorted(((d, *digest(t)) for d, t in ODD), key=str)

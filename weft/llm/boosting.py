@@ -23,17 +23,18 @@ class Trees:
         return out
 
 
-def fit_trees(x: np.ndarray, y: np.ndarray, rounds: int = 40, depth: int = 3, rate: float = 0.25, bins: int = 32, damping: float = 1.0, least: float = 1.0) -> Trees:
-    """Newton boosting over binned features; deterministic."""
+def fit_trees(x: np.ndarray, y: np.ndarray, rounds: int = 40, depth: int = 3, rate: float = 0.25, bins: int = 32, damping: float = 1.0, least: float = 1.0, start: np.ndarray | None = None) -> Trees:
+    """Newton boosting over binned features, from the rows' margins ``start`` if
+    given; deterministic."""
     n, m = x.shape
     share = min(max(float(y.mean()) if n else 0.0, 1e-3), 1 - 1e-3)
-    base = float(np.log(share / (1 - share)))
+    base = float(np.log(share / (1 - share))) if start is None else 0.0
     cuts = [np.unique(np.quantile(x[:, j], np.linspace(0, 1, bins + 1)[1:-1])) if n else np.zeros(0) for j in range(m)]
     cuts = [np.unique(np.concatenate([c, [0.0]])) for c in cuts]
     binned = np.stack([np.searchsorted(c, x[:, j], side="left") for j, c in enumerate(cuts)], axis=1) if m else np.zeros((n, 0), int)
     width = max((len(c) for c in cuts), default=0) + 1
     inner = 2**depth - 1
-    margin = np.full(n, base)
+    margin = np.full(n, base) if start is None else np.array(start, float)
     features, thresholds, leaves = [], [], []
     for _ in range(rounds if n else 0):
         p = 1 / (1 + np.exp(-margin))
