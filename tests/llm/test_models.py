@@ -116,6 +116,23 @@ def test_cards_of_15_digits_are_found(make):
     assert got[9000] == "card:9:24" and got[9001] == ""
 
 
+PHONES = [
+    ("x +44 20 7946 0958 10.0.0.1", "+44 20 7946 0958"), ("x +49 151 23456789 12.05.2024 y", "+49 151 23456789"), ("x +33 1 23 45 67 89 4465758382889437", "+33 1 23 45 67 89"),
+    ("x +44 20 7946 0958 12345 y", "+44 20 7946 0958"), ("x +49 30 1234567 (030) 7654321", "+49 30 1234567"), ("x +1 (017) 555-7713 4465 7583 8288 9437", "+1 (017) 555-7713"),
+    ("ring 020 7946 0958 now", "020 7946 0958"), ("ring 0151 23456789 now", "0151 23456789"), ("ring 01 23 45 67 89 now", "01 23 45 67 89"), ("ring (030) 1234567.", "(030) 1234567"),
+    ("on 01-02-2024 and 01.02.2024 10:00", ""), ("x +123456789012345678901234567890", ""),
+]
+
+
+def test_phones_of_other_layouts(make):
+    """With and without a trained model."""
+    for others in ([], coded_rows()):
+        got = {r[0]: r["spans"] for r in found_spans(pii.find(make([*others, *((9000 + i, t) for i, (t, _) in enumerate(PHONES))])))}
+        for i, (text, phone) in enumerate(PHONES):
+            found = [tuple(map(int, s.split(":")[1:])) for s in got[9000 + i].split(",") if s.startswith("phone")]
+            assert (text, [text[a:b] for a, b in found][:1]) == (text, [phone] if phone else [])
+
+
 def test_pii_on_odd_and_empty_tables(make):
     got = sorted(((r[0], *r[1:6]) for r in found_spans(pii.find(make(ODD)))), key=str)
     assert got == sorted(((d, *digest(t)) for d, t in ODD), key=str)

@@ -7,8 +7,10 @@ and fits the small model on a bounded sample of candidate features.
    phone) that pass the kind's check. They always stay.
 2. High-recall generators propose further spans, overlapping the matches that
    failed their check: card numbers inside a digit run that swallowed a
-   neighbouring number, phone numbers inside a run that went on into the next
-   one, phone numbers in national form and emails written with (at) and (dot).
+   neighbouring number, of a phone run that went on into the next number the
+   beginnings of 8 to 15 digits that end with a group (of its first 15 groups),
+   phone numbers in national form (3-3-4 digits, or with a leading 0 and 9 to 12
+   digits) and emails written with (at) and (dot).
 3. Features of a candidate are its format (kind; a card's digits, groups and
    separators) and its context (adjoining letters and digits, quotes and equals
    signs, cue words, whether the number goes on). Checksums, octets and the digit
@@ -57,10 +59,10 @@ BASE = {"email": EMAIL, "ip": IP, "card": CARD, "phone": PHONE}
 
 # Generators inside failed matches, and over the text.
 CARD_INSIDE = r"(?<![0-9])(?:[0-9]{16,19}|[0-9]{4}[\x20-][0-9]{4}[\x20-][0-9]{4}[\x20-][0-9]{4}|[0-9]{4}[\x20-][0-9]{6}[\x20-][0-9]{5}|[0-9]{13,15})(?![0-9])"
-PHONE_INSIDE = r"^\+[0-9]{1,3}[\x20.-]?(?:\([0-9]{2,4}\)|[0-9]{2,4})[\x20.-]?[0-9]{3}[\x20.-]?[0-9]{4}(?![0-9])"
 PHONE_LAYOUT = r"^\+[0-9]{1,3}[\x20.-]?(?:\([0-9]{2,4}\)|[0-9]{2,4})[\x20.-]?[0-9]{3}[\x20.-]?[0-9]{4}$"
 NUMBER_AFTER = r"^\x20(?:\(|(?:[0-9]{1,3}\.){3}[0-9]{1,3}(?![0-9])|[0-9]{1,2}[.-][0-9]{1,2}[.-][0-9]{2,4}(?![0-9])|[0-9]{4}-[0-9]{2}-[0-9]{2}(?![0-9])|[0-9]{13}|(?:[0-9]{4}[\x20-]){3}[0-9]{4}(?![0-9]))"
 PHONE_NATIONAL = r"(?<![0-9+.-])(?<!\+[0-9]{1,3}[\x20.-]?)(?:\([0-9]{3}\)\x20?|[0-9]{3}[.-])[0-9]{3}[.-][0-9]{4}(?![0-9.-])"
+PHONE_TRUNK = r"(?<![0-9+.-])(?<![0-9][\x20().-]{1,4})(?:\(0[1-9][0-9]{1,4}\)\x20?[0-9]{3,8}(?:[\x20-][0-9]{2,8}){0,3}|0[1-9][0-9]{1,4}(?:[\x20-][0-9]{2,8}){1,4}|0[1-9](?:[\x20.][0-9]{2}){4})(?![0-9])(?![\x20.-][0-9])"
 EMAIL_SPELLED = r"(?i)(?<![A-Z0-9._%+-])[A-Z0-9._%+-]{1,64}+\x20?[\(\[{]\x20?at\x20?[\)\]}]\x20?[A-Z0-9-]{1,63}+(?:(?:\.|\x20?[\(\[{]\x20?dot\x20?[\)\]}]\x20?)[A-Z0-9-]{1,63}+){1,4}+"
 OCTETS = r"^0*(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])(?:\.0*(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])){3}$"
 CUES = r"(?i)(?:tel|phone|fon|call|mobile|card|visa|credit|mail|contact|ip|host|addr\w*)\W*$"
@@ -222,8 +224,9 @@ def with_matches(docs: DataFrame, text_col: str = "text") -> DataFrame:
         F.array().cast(SPAN).alias("ip"),
         _inside(F.col("failed.card"), CARD_INSIDE).alias("card"),
         F.concat(
-            _inside(F.col("failed.phone"), PHONE_INSIDE),
+            _prefixes(F.col("failed.phone"), 8, 15),
             F.when(text.rlike("[0-9][.-][0-9]{4}"), matches(text, PHONE_NATIONAL)).otherwise(F.array().cast(SPAN)),
+            F.when(text.rlike(r"0[1-9][0-9]{0,4}\)?[\x20.-]?[0-9]{2}"), F.filter(matches(text, PHONE_TRUNK), lambda c: F.length(_digits(c["m"])).between(9, 12))).otherwise(F.array().cast(SPAN)),
         ).alias("phone"),
     )
     return split.withColumn("proposed", proposed).drop("_found")
