@@ -147,6 +147,12 @@ def test_redaction_replaces_spans_and_keeps_columns(make):
     assert sorted(((r["doc_id"], r["text"], r["n_chars"]) for r in out.collect()), key=str) == sorted([(1, "é <email> x <ip>.", 17), (2, None, 99), (3, "clean", 99), (3, "clean", 99)], key=str)
 
 
+def test_redaction_of_overlapping_spans_leaves_nothing(make):
+    rows = [(1, "x +1 555 123 4567 8bob@x.org y"), (2, "x +491511234567@sms.de y"), (3, "+49 151 1234567 and a@b.cc")]
+    got = {r["doc_id"]: r["text"] for r in pii.redact(make(rows)).collect()}
+    assert got == {1: "x <phone> y", 2: "x <phone> y", 3: "<phone> and <email>"}
+
+
 def test_op2_base_spans(spark):
     rows = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
     for r in queries.QUERIES["op2_pii_spans"](spark, SF).collect():

@@ -341,7 +341,7 @@ def spelled(spans: str) -> Column:
 
 def redact(docs: DataFrame, text_col: str = "text", length_col: str | None = None) -> DataFrame:
     """``docs`` with every span replaced by its kind in angle brackets (where
-    spans of different kinds overlap, the earlier one) and, in changed rows,
+    spans of different kinds overlap, all they cover by the kind of the earliest) and, in changed rows,
     ``length_col`` set to the new text's code points."""
     whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(text_col).cast("string").alias("text"))
     found = find(whole)
@@ -354,7 +354,7 @@ def redact(docs: DataFrame, text_col: str = "text", length_col: str | None = Non
     def cut(text: Column) -> Column:
         def step(a: Column, c: Column) -> Column:
             between = F.substr(text, (a["t"] + 1).cast("int"), (c["s"] - a["t"]).cast("int"))
-            return F.when(c["s"] < a["t"], a).otherwise(F.struct(c["e"].alias("t"), F.concat(a["a"], F.array(between, c["k"])).alias("a")))
+            return F.when(c["s"] < a["t"], F.struct(F.greatest(a["t"], c["e"]).alias("t"), a["a"].alias("a"))).otherwise(F.struct(c["e"].alias("t"), F.concat(a["a"], F.array(between, c["k"])).alias("a")))
 
         rest = lambda a: F.concat(F.array_join(a["a"], ""), F.substr(text, (a["t"] + 1).cast("int")))
         return F.aggregate(F.array_sort(F.concat(*[tag(k) for k in KINDS])), start, step, rest)
