@@ -269,6 +269,26 @@ def test_large_and_deep_pages_take_linear_time():
         html_text.main_text(page)
 
 
+@pytest.mark.parametrize("item", ["<li><p>%d", "<li><div>%d", "<table><tr><td>%d", "<tr><td>%d<td>x", "<dt>%d<dd><p>x", "<div>%d"])
+def test_end_tags_find_open_elements_at_any_depth(item):
+    """End tags left out in long menus neither swallow the article nor let others in."""
+    items, text = "".join(item % i for i in range(300)), "A long text, with punctuation; and more words here, to be sure."
+    for menu in ("nav", "aside", "form"):
+        assert html_text.main_text(f"<body><{menu}><ul>{items}</ul></{menu}><div><p>{text}</div>") == text
+    page = html_text.page_blocks(f"<article><ul>{items}</ul></article><div>Reader comments, in a plain division.</div>")
+    assert page.main[page.blocks[-1][0]] == -1 and page.main[page.blocks[0][0]] >= 0
+
+
+def test_items_without_end_tags_are_siblings():
+    for html_page, depth in (("<ul>" + "<li><p>a" * 50, 3), ("<table>" + "<tr><td>a" * 50, 3), ("<dl>" + "<dt>a<dd><p>b" * 50, 3), ("<ul><li>a<ul>" + "<li>b" * 50, 4)):
+        page = html_text.page_blocks(html_page)
+        assert max(_depth(page, b[0]) for b in page.blocks) == depth
+
+
+def _depth(page, node):
+    return 0 if node <= 0 else 1 + _depth(page, page.parent[node])
+
+
 def test_extract_odd_rows_and_empty_table(spark):
     schema = "page_id long, url string, html string, text string, n_chars long"
     pages = spark.createDataFrame([(1, None, None, "x", 1), (None, "u", "<p>a", "x", 1), (2, "v", "", "x", 1), (2, "v", "", "x", 1)], schema)

@@ -16,7 +16,9 @@ else headings and blocks beside selected ones are.
 
 Character references are decoded, white space in a block (``br`` included) is
 one space, blocks are trimmed, empty ones dropped, and the rest joined by a
-line break in page order. Tags left open and stray end tags are tolerated.
+line break in page order. Tags left open and stray end tags are tolerated: an end
+tag ends its innermost open element at any depth, and a new list item, table row
+or cell, term or description the open one of its list or table.
 
 Edge cases: null or empty html gives an empty text; a page without main text
 gives an empty text; plain text without tags is one block and is kept; repeated
@@ -50,6 +52,12 @@ NEVER = frozenset("nav footer aside form menu dialog button select option svg ob
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 MAIN = frozenset(("article", "main"))
 SAME_CLOSES = frozenset("li dd dt tr td th option p".split())
+# Start tags that end the nearest open element of their kin, and all open in it,
+# unless a list, table or section of the page lies between.
+_SECTIONS = "article aside body blockquote footer form header main nav section"
+KIN = {t: k.split() for k in ("li", "dd dt", "tr", "td th") for t in k.split()}
+LIMITS = {"li": f"ul ol menu dir dl table td th {_SECTIONS}", "dd": f"dl ul ol table td th {_SECTIONS}", "tr": "table", "td": "tr table"}
+LIMITS = {t: LIMITS[next(k for k in KIN[t] if k in LIMITS)].split() for t in KIN}
 BOILERPLATE = re.compile(
     r"(?:^|[^a-z])(?:ads?|advert\w*|adverti[sz]ement\w*|banner|breadcrumbs?|comments?|cookies?|consent|copyright|disqus|footer|header|login|masthead|menu|modal|nav|navbar|navigation|newsletter|notices?|pagination|pager|popup|promo\w*|related|share|sharing|sidebar|signup|social|sponsor\w*|subscribe|toolbar|widget)(?:[^a-z]|$)"
 )
@@ -66,6 +74,7 @@ class _Page:
         self.parent, self.tag, self.out, self.main = [-1], [""], [False], [-1]
         self.tags = [0]  # tags seen on each path
         self.stack: list[tuple[str, int]] = [("", 0)]
+        self.at: dict[str, list[int]] = {}  # places in the stack by tag, ascending
         self.blocks: list[tuple[int, str, int]] = []  # path, text, linked characters
         self.text: list[str] = []
         self.linked = 0
@@ -86,8 +95,7 @@ class _Page:
     def open(self, tag: str, attributes: str) -> None:
         if tag in BLOCKS:
             self.flush()
-            if tag in SAME_CLOSES or self.stack[-1][0] == "p":
-                self._implied(tag)
+            self._implied(tag)
             here = self.stack[-1][1]
             marks = {k.lower(): v.strip("\"'") for k, v in _ATTRIBUTES.findall(attributes)} if "=" in attributes else {}
             named = " ".join(marks.values()).lower()
@@ -105,7 +113,7 @@ class _Page:
                 self.tags.append(0)
             self.tags[node] += 1
             if tag not in VOID:
-                self.stack.append((tag, node))
+                self._push(tag, node)
         elif tag == "br":
             self.text.append("\n")
             self.tags[self.stack[-1][1]] += 1
@@ -123,27 +131,35 @@ class _Page:
                     self.out.append(True)
                     self.main.append(self.main[here])
                     self.tags.append(0)
-                self.stack.append((tag, node))
+                self._push(tag, node)
+
+    def _push(self, tag: str, node: int) -> None:
+        self.at.setdefault(tag, []).append(len(self.stack))
+        self.stack.append((tag, node))
+
+    def _cut(self, place: int) -> None:
+        """Ends the open elements from a place of the stack on."""
+        while len(self.stack) > place:
+            self.at[self.stack.pop()[0]].pop()
+
+    def _innermost(self, tags) -> int:
+        """Place of the innermost open element of these tags, 0 without one."""
+        return max((self.at[t][-1] for t in tags if self.at.get(t)), default=0)
 
     def _implied(self, tag: str) -> None:
-        """A start tag that ends an open element of its kind, or a paragraph."""
-        kin = {"p", tag} if tag in SAME_CLOSES else {"p"}
-        if tag in ("td", "th"):
-            kin |= {"td", "th"}
-        if tag in ("dd", "dt"):
-            kin |= {"dd", "dt"}
-        if self.stack[-1][0] in kin:
-            self.stack.pop()
+        """A start tag that ends an open element of its kin, or a paragraph."""
+        if tag in KIN and (kin := self._innermost(KIN[tag])) > self._innermost(LIMITS[tag]):
+            self._cut(kin)
+        elif self.stack[-1][0] == "p" or (tag in SAME_CLOSES and self.stack[-1][0] == tag):
+            self._cut(len(self.stack) - 1)
 
     def close(self, tag: str) -> None:
         if tag == "a":
             self.links = max(0, self.links - 1)
         elif tag in BLOCKS or tag in NEVER:
             self.flush()
-            for i in range(len(self.stack) - 1, max(0, len(self.stack) - 64), -1):
-                if self.stack[i][0] == tag:
-                    del self.stack[i:]
-                    break
+            if place := self._innermost((tag,)):
+                self._cut(place)
 
 
 def page_blocks(html: str) -> _Page:
