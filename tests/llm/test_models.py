@@ -285,6 +285,23 @@ def test_items_without_end_tags_are_siblings():
         assert max(_depth(page, b[0]) for b in page.blocks) == depth
 
 
+@pytest.mark.parametrize("name", ["content has-sidebar", "no-comments", "share-enabled", "page with_header", "sidebar-page", "related", "main-layout sidebar", "hentry-notices"])
+def test_wrapper_names_do_not_put_out_the_main_text(name):
+    text = "A long text, with punctuation; and more words here, to be sure."
+    aside = '<div class="sidebar"><p>Side text, short.</div><div id="post-comments"><p>I disagree, strongly.</div>'
+    for inner in (f"<article><p>{text}</article>", f"<main><div class='{name}'><article><p>{text}</article></div></main>", f"<p>{text}{text}{text}</p>"):
+        for page in (f"<body><div class='{name}'>{inner}{aside}</div></body>", f"<body><div id=top class='{name}'>{inner}</div>{aside}</body>"):
+            assert html_text.main_text(page) == (text if "article" in inner else text * 3)
+
+
+def test_comments_in_articles_of_their_own_stay_out():
+    text = "A long text, with punctuation; and more words here, to be sure."
+    notes = "<article class=note><p>I disagree, strongly, with this.</article>" * 30
+    for name in ("comments", "related"):
+        assert html_text.main_text(f"<body><div class=has-{name}><article><p>{text}</article></div><div id={name}>{notes}</div></body>") == text
+    assert not html_text.names_boilerplate("no-comments has-sidebar share-enabled") and html_text.names_boilerplate("x cookie-notice")
+
+
 def _depth(page, node):
     return 0 if node <= 0 else 1 + _depth(page, page.parent[node])
 

@@ -9,8 +9,10 @@ standard deviation over the page. Selected paths give the content nodes.
 
 Two structural rules complete the ratios, which alone lose short paragraphs and
 titles: blocks under elements that never hold main text (menus, page headers,
-footers, asides, forms, scripts, and elements whose class, id or role names an
-advert, notice, sidebar, menu or comments) are out; where an ``article`` or
+footers, asides, forms, scripts, and elements with a class token, id or role that
+names an advert, notice, sidebar, menu or comments and no state such as "no-" or
+"-enabled") are out, but no name puts out the element that holds the chief
+``article`` or ``main`` or, on pages without, most of the page's text; where an ``article`` or
 ``main`` element holds most of the selected text, all its other blocks are in,
 else headings and blocks beside selected ones are.
 
@@ -59,13 +61,26 @@ KIN = {t: k.split() for k in ("li", "dd dt", "tr", "td th") for t in k.split()}
 LIMITS = {"li": f"ul ol menu dir dl table td th {_SECTIONS}", "dd": f"dl ul ol table td th {_SECTIONS}", "tr": "table", "td": "tr table"}
 LIMITS = {t: LIMITS[next(k for k in KIN[t] if k in LIMITS)].split() for t in KIN}
 BOILERPLATE = re.compile(
-    r"(?:^|[^a-z])(?:ads?|advert\w*|adverti[sz]ement\w*|banner|breadcrumbs?|comments?|cookies?|consent|copyright|disqus|footer|header|login|masthead|menu|modal|nav|navbar|navigation|newsletter|notices?|pagination|pager|popup|promo\w*|related|share|sharing|sidebar|signup|social|sponsor\w*|subscribe|toolbar|widget)(?:[^a-z]|$)"
+    r"(?:ads?|advert\w*|adverti[sz]ement\w*|banner|breadcrumbs?|comments?|cookies?|consent|copyright|disqus|footer|header|login|masthead|menu|modal|nav|navbar|navigation|newsletter|notices?|pagination|pager|popup|promo\w*|related|share|sharing|sidebar|signup|social|sponsor\w*|subscribe|toolbar|widget)"
 )
+# Words that make a name tell a state or layout of its element, not its part.
+STATES = frozenset("has have no not with without is hide hides hidden show shows enable enabled disable disabled on off open opened closed active layout wrapper".split())
+#: Share of a page's unlinked text from which a boilerplate name is not believed.
+MOST = 0.75
 _ATTRIBUTES = re.compile(r"""\b(class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""", re.IGNORECASE)
 _PUNCTUATION = re.compile(r"[.,;:!?¡¿…。，、；：！？]")
 _NAME = re.compile(r"[a-zA-Z][^\s/>]*")
 
 
+def names_boilerplate(names: str) -> bool:
+    """Whether one of the class tokens, ids or roles names boilerplate."""
+    for name in names.lower().split():
+        words = re.findall("[a-z]+", name)
+        if not STATES.intersection(words) and any(BOILERPLATE.fullmatch(w) for w in words):
+            return True
+    return False
+
+
 class _Page:
     """Blocks of one page with the number of their path."""
 
@@ -73,6 +88,7 @@ class _Page:
         self.nodes: dict[tuple[int, str], int] = {}
         self.parent, self.tag, self.out, self.main = [-1], [""], [False], [-1]
         self.tags = [0]  # tags seen on each path
+        self.named, self.opened = [False], [1]  # by a boilerplate name; elements of each path
         self.stack: list[tuple[str, int]] = [("", 0)]
         self.at: dict[str, list[int]] = {}  # places in the stack by tag, ascending
         self.blocks: list[tuple[int, str, int]] = []  # path, text, linked characters
@@ -98,20 +114,22 @@ class _Page:
             self._implied(tag)
             here = self.stack[-1][1]
             marks = {k.lower(): v.strip("\"'") for k, v in _ATTRIBUTES.findall(attributes)} if "=" in attributes else {}
-            named = " ".join(marks.values()).lower()
-            aside = bool(named and tag not in ("html", "body") and tag not in MAIN and BOILERPLATE.search(named))
+            aside = bool(marks) and tag not in ("html", "body") and tag not in MAIN and names_boilerplate(" ".join(marks.values()))
             label = tag + "".join("." + c for c in marks.get("class", "").split()) + "!" * aside
             node = self.nodes.get((here, label))
             if node is None:
                 node = self.nodes[here, label] = len(self.parent)
                 inside = self.main[here] >= 0
-                out = self.out[here] or tag in NEVER or (tag == "header" and not inside) or aside
+                out = self.out[here] or tag in NEVER or (tag == "header" and not inside)
                 self.parent.append(here)
                 self.tag.append(tag)
                 self.out.append(out)
                 self.main.append(self.main[here] if inside else node if tag in MAIN and not out else -1)
                 self.tags.append(0)
+                self.named.append(aside)
+                self.opened.append(0)
             self.tags[node] += 1
+            self.opened[node] += 1
             if tag not in VOID:
                 self._push(tag, node)
         elif tag == "br":
@@ -131,6 +149,8 @@ class _Page:
                     self.out.append(True)
                     self.main.append(self.main[here])
                     self.tags.append(0)
+                    self.named.append(False)
+                    self.opened.append(1)
                 self._push(tag, node)
 
     def _push(self, tag: str, node: int) -> None:
@@ -162,6 +182,36 @@ class _Page:
                 self._cut(place)
 
 
+    def exclude_named(self) -> None:
+        """Puts elements with boilerplate names out, but for those that hold the
+        page's chief article or, without any, ``MOST`` of its text: there the
+        ratios decide."""
+        if not any(self.named):
+            return
+        mass = [0] * len(self.parent)
+        for path, text, linked in self.blocks:
+            if not self.out[path]:
+                mass[path] += len(text) - linked
+        for node in range(len(mass) - 1, 0, -1):
+            mass[self.parent[node]] += mass[node]
+        holds = [-1] * len(mass)  # nearest article or main around each path
+        chief = -1
+        for node in range(1, len(mass)):
+            up = self.parent[node]
+            holds[node] = up if self.tag[up] in MAIN else holds[up]
+            if self.tag[node] in MAIN and not self.out[node] and mass[node]:
+                least = mass[chief] / self.opened[chief] / (2 if holds[node] == chief else 1) if chief >= 0 else 0
+                chief = node if mass[node] / self.opened[node] > least else chief
+        kept = set()
+        node = chief
+        while node > 0:
+            kept.add(node)
+            node = self.parent[node]
+        for node in range(1, len(mass)):
+            spared = node in kept if chief >= 0 else mass[node] > MOST * mass[0]
+            self.out[node] = self.out[node] or self.out[self.parent[node]] or (self.named[node] and not spared)
+
+
 def page_blocks(html: str) -> _Page:
     page, at, n, quotes = _Page(), 0, len(html), True
     while at < n:
@@ -208,6 +258,7 @@ def page_blocks(html: str) -> _Page:
             continue
         page.open(tag, html[name.end() : end])
     page.flush()
+    page.exclude_named()
     return page
 
 
