@@ -6,8 +6,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weft.llm import decontam, html_text, packing, permutation, pfor, pii, simhash, substring, token_counts, toxicity
+from weft.llm import decontam, divergence, html_text, lattice, packing, permutation, pfor, pii, simhash, spelling, substring, token_counts, toxicity
 from weft.llm.common import read_table
+from weft.llm.oracle import ORACLE_SQL  # noqa: F401
 from weft.session import scratch_path
 
 
@@ -64,6 +65,18 @@ def op10_section_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.section_counts(read_table(spark, sf_dir, "documents"))
 
 
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(read_table(spark, sf_dir, "documents"))
+
+
+def op12_lattice_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lattice.near_duplicates(read_table(spark, sf_dir, "embeddings"))
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.group_variants(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_pfor_ids": op1_pfor_ids,
     "op2_pii_spans": op2_pii_spans,
@@ -75,5 +88,7 @@ QUERIES = {
     "op8_toxicity_trees": op8_toxicity_trees,
     "op9_permutation_search": op9_permutation_search,
     "op10_section_tokens": op10_section_tokens,
+    "op11_source_divergence": op11_source_divergence,
+    "op12_lattice_dedup": op12_lattice_dedup,
+    "op13_spelling_variants": op13_spelling_variants,
 }
-ORACLE_SQL: dict[str, str] = {}
