@@ -88,6 +88,31 @@ def test_feature_and_task_validators(spark):
     assert f["key_functionality"] == "rules" and f["user_benefit"] == "speed"
 
 
+def test_answers_as_models_write_them(spark):
+    """Introductions, list marks, CRLF and other white space do not make a right
+    answer wrong, nor an empty field full."""
+    story = "As a {0}, I want mail routed so that {0} wins."
+    stories = [
+        ("Here are the stories:\n\n1. " + story.format("clerk") + "\n2) " + story.format("boss"), 2, True, "clerk"),
+        ("- " + story.format("clerk") + "\r\n- " + story.format("boss") + "\r\n", 2, True, "clerk"),
+        ("\u2022 " + story.format("clerk"), 1, True, "clerk"),
+        ("Stories: As a clerk, I want mail. * As a boss, I want mail so that all is well", 2, False, ""),
+        ("no story here", 1, False, ""), ("", 1, False, ""),
+    ]
+    df = spark.createDataFrame([(i, s[0]) for i, s in enumerate(stories)], "id int, t string").select("id", V.story("t").alias("v"))
+    got = {r["id"]: (len(r["v"]["records"]), r["v"]["valid"], r["v"]["persona"]) for r in df.collect()}
+    assert got == {i: s[1:] for i, s in enumerate(stories)}
+    good = "Feature Name: Router\r\nDescription: routes\r\nKey Functionality: rules\r\nUser Benefit: speed\r\n"
+    features = [
+        ("Sure, the features:\n\n1. " + good + "\n2. " + good, 2, True), (good.replace("speed", ""), 1, False), (good.replace("speed", "\u00a0\u3000"), 1, False),
+        ("* " + good.replace("rules", "\t"), 1, False), ("  - " + good.replace("speed", " speed\u00a0"), 1, True), ("nothing", 0, False),
+    ]
+    df = spark.createDataFrame([(i, f[0]) for i, f in enumerate(features)], "id int, t string").select("id", V.feature("t").alias("v"))
+    rows = {r["id"]: r["v"] for r in df.collect()}
+    assert {i: (len(v["records"]), v["valid"]) for i, v in rows.items()} == {i: f[1:] for i, f in enumerate(features)}
+    assert rows[4]["user_benefit"] == "speed" and rows[0]["description"] == "routes"
+
+
 def test_prefix_name_sections(spark):
     rows = [(1, "Dear students, hello", "Paris", "1. USER STORIES x 2. PRODUCT FEATURES y 3. ENGINEERING TASKS"),
             (2, "dear students,", "The capital is Paris.", "2. PRODUCT FEATURES 1. USER STORIES 3. ENGINEERING TASKS"),

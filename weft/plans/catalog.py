@@ -15,7 +15,7 @@ from weft.functions.text import is_yes, normalize_ws
 from weft.functions.vectors import cosine
 from weft.operators.chunking import chunk, extract_steps
 from weft.operators.completion import CallableCompleter, ExtractiveCompleter, ModelJudge, Rule, complete, max_length_rule, request_hash
-from weft.operators.embedding import HashingEmbedder
+from weft.operators.embedding import CallableEmbedder, HashingEmbedder, vector_store
 from weft.operators.refine import answer_then_refine, refine
 from weft.operators.routing import (
     FALLBACK_RESPONSE,
@@ -26,6 +26,7 @@ from weft.operators.routing import (
 )
 from weft.operators.scoring import top_k_matches
 from weft.plans import presets as P
+from weft.plans.index import ChunkIndex
 from weft.plans.planning import parse_sections, plan_steps
 from weft.plans.workflow import (
     assemble,
@@ -38,6 +39,7 @@ from weft.plans.workflow import (
     write_index,
 )
 from weft.session import broadcast_if_small, cut_lineage, scratch_path, spread
+from weft.sources.snapshots import KeyedStore
 from weft.sources.io import (
     new_run_id,
     read_chunks_csv,
@@ -197,6 +199,37 @@ def rag_from_index(spark, d):
     return res.select("item_id", "doc_id", "chunk_id", F.round("similarity", 6).alias("similarity"))
 
 
+OTHER_IDS = 1_000_000_000_000  # documents that only the index's first version has
+
+
+def rag_incremental(spark, d):
+    """An index of an older state of the documents (some changed, some missing, some
+    gone since) brought up to date answers as one built anew."""
+    docs = table(spark, d, "documents").select("doc_id", "text")
+    old_text = F.when(F.col("doc_id") % 100 == 7, F.concat(F.lit("Outdated. "), F.col("text"))).otherwise(F.col("text"))
+    older = docs.where("doc_id % 50 <> 3").select("doc_id", old_text.alias("text")).unionByName(
+        docs.where("doc_id % 50 = 0").select((F.col("doc_id") + OTHER_IDS).alias("doc_id"), "text"))
+    index = ChunkIndex(spark, scratch_path(spark, "index"), CHUNK_SIZE, CHUNK_OVERLAP)
+    index.update(older)
+    index.update(docs)
+    res = index.top_chunks(table(spark, d, "benchmark"))
+    return res.select("item_id", "doc_id", "chunk_id", F.round("similarity", 6).alias("similarity"))
+
+
+def counting_client():
+    """A stand-in embedding model: length, and how many e, s and spaces."""
+    return lambda texts: [[float(len(t)), *(float(t.count(c)) for c in "es ")] for t in texts]
+
+
+def embed_from_store(spark, d):
+    """Vectors by content: one run embeds some documents, the next all of them."""
+    docs = table(spark, d, "documents").select("doc_id", "lang", "text")
+    embedder = CallableEmbedder(counting_client, store=vector_store(spark, scratch_path(spark, "vectors")))
+    embedder.embed(docs.where("lang = 'en'"), ["doc_id"])
+    found = embedder.embed(docs, ["doc_id"])
+    return found.select("doc_id", *[F.element_at("vec", i).alias(n) for i, n in enumerate(("chars", "e", "s", "spaces"), start=1)])
+
+
 # ---------------------------------------------------------------------------
 # prompt rendering
 # ---------------------------------------------------------------------------
@@ -298,6 +331,17 @@ def complete_dedup(spark, d):
         F.count(F.lit(1)).alias("n_requests"), F.max(F.col("called").cast("int")).alias("n_calls"))
 
 
+def complete_from_store(spark, d):
+    """Three runs over one answer store: the first turns, all turns, all again.
+    The second run asks only for what the first did not, the third for nothing."""
+    requests = table(spark, d, "conversations").select("turn", R.direct("text").alias("messages"))
+    store, client = KeyedStore(spark, scratch_path(spark, "answers")), CallableCompleter(first_line_client)
+    complete(requests.where("turn = 0"), client, store=store)
+    runs = [complete(requests, client, store=store).withColumn("run", F.lit(i)) for i in (2, 3)]
+    return runs[0].unionByName(runs[1]).groupBy("request_hash").agg(
+        F.max("response").alias("response"), *[F.max(F.when(F.col("run") == i, F.col("called").cast("int"))).alias(f"calls_{i}") for i in (2, 3)])
+
+
 def verdict_texts(labels: DataFrame) -> DataFrame:
     """Evaluation texts in the shapes a judge answers with, built from labels."""
     ids = F.col("doc_id").cast("string")
@@ -357,6 +401,15 @@ def refine_loop_model(spark, d):
     return trace
 
 
+def refine_resumed(spark, d):
+    """The same loop broken off after its second round and taken up again."""
+    path = scratch_path(spark, "run")
+    judge = ModelJudge(P.CITY_CRITERIA, CallableCompleter(judging_client), store=KeyedStore(spark, scratch_path(spark, "verdicts")))
+    refine(refine_requests(spark, d), judge, MODEL_ROUNDS, run_path=path, pause_after=2)
+    _, trace = refine(refine_requests(spark, d), judge, MODEL_ROUNDS, run_path=path)
+    return trace
+
+
 def answer_then_refine_q(spark, d):
     result, _ = answer_then_refine(refine_requests(spark, d), max_length_rule(REFINE_MAX_CHARS), P.MAX_INTERACTIONS)
     return result.select("prompt_id", "final_response")
@@ -438,9 +491,17 @@ def workflow_from_prompt(spark, d):
 # ---------------------------------------------------------------------------
 
 
+INTRODUCTION = "Here is what you asked for:\n\n"
+LIST_MARKS = ("", "- ", "1. ", "\u2022 ", "2) ")
+
+
 def several(first: Column, more: Column, key: Column) -> Column:
-    """One to three records by the key: ``first`` comes last, after ``more``."""
-    return F.concat(F.repeat(F.concat(more, F.lit("\n")), (key % 3).cast("int")), first)
+    """One to three records by the key, as a model writes them: ``first`` comes
+    last, after ``more``; some with an introduction, list marks or CRLF."""
+    mark = F.element_at(F.array(*[F.lit(m) for m in LIST_MARKS]), (key % len(LIST_MARKS) + 1).cast("int"))
+    end = F.when(key % 2 == 0, F.lit("\r\n")).otherwise(F.lit("\n"))
+    head = F.when(key % 7 < 2, F.lit(INTRODUCTION)).otherwise(F.lit(""))
+    return F.concat(head, F.repeat(F.concat(mark, more, end), (key % 3).cast("int")), mark, first, end)
 
 
 def story_texts(customer: DataFrame) -> DataFrame:
@@ -589,6 +650,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "prompt_spec_knowledge": prompt_spec_knowledge,
     "extractive_answer": extractive_answer_q,
     "complete_dedup": complete_dedup,
+    "complete_from_store": complete_from_store,
     "verdicts": verdicts,
     "refine_loop": refine_loop,
     "refine_trace": refine_trace,
@@ -596,7 +658,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "route_respond": route_respond,
     "rag_answer": rag_answer_q,
     "rag_from_index": rag_from_index,
+    "rag_incremental": rag_incremental,
+    "embed_from_store": embed_from_store,
     "refine_loop_model": refine_loop_model,
+    "refine_resumed": refine_resumed,
     "embeddings_round_trip": embeddings_round_trip,
     "plan_output": plan_output,
     "validate_stories": validate_stories,

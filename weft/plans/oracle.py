@@ -214,6 +214,10 @@ WITH r AS (SELECT {h} AS h FROM conversations UNION ALL SELECT {h} FROM conversa
      st AS (SELECT DISTINCT {h} AS h FROM conversations WHERE turn = 0)
 SELECT r.h AS request_hash, count(*) AS n_requests, max(CASE WHEN st.h IS NULL THEN 1 ELSE 0 END)::INTEGER AS n_calls
 FROM r LEFT JOIN st USING (h) GROUP BY r.h"""
+    q["complete_from_store"] = f"""
+WITH r AS (SELECT DISTINCT {h} AS h, string_split(coalesce(text, ''), chr(10))[1] AS response FROM conversations),
+     first_run AS (SELECT DISTINCT {h} AS h FROM conversations WHERE turn = 0)
+SELECT r.h AS request_hash, response, (f.h IS NULL)::INTEGER AS calls_2, 0 AS calls_3 FROM r LEFT JOIN first_run f USING (h)"""
     ev = f"""CASE WHEN quality = 1 AND toxic = 0 THEN 'Yes, document ' || doc_id::VARCHAR || ' meets the criteria.'
                   WHEN quality = 1 THEN {lit('  ' + chr(9) + ' yes, document ')} || doc_id::VARCHAR || ' is acceptable.'
                   WHEN toxic = 1 THEN '**Yes** document ' || doc_id::VARCHAR || ' is flagged.'
@@ -260,7 +264,11 @@ SELECT b.item_id, coalesce(c.sent, '') AS response FROM best b LEFT JOIN cand c
 
     # validators
     def several(last: str, more: str, key: str) -> str:
-        return f"repeat({more} || chr(10), ({key} % 3)::INTEGER) || {last}"
+        marks = "[" + ", ".join(lit(m) for m in C.LIST_MARKS) + "]"
+        mark = f"{marks}[({key} % {len(C.LIST_MARKS)})::INTEGER + 1]"
+        end = f"CASE WHEN {key} % 2 = 0 THEN chr(13) || chr(10) ELSE chr(10) END"
+        head = f"CASE WHEN {key} % 7 < 2 THEN {lit(C.INTRODUCTION)} ELSE '' END"
+        return f"{head} || repeat({mark} || {more} || {end}, ({key} % 3)::INTEGER) || {mark} || {last} || {end}"
 
     shead = "'As a ' || lower(c_mktsegment) || ' buyer, I want to review account ' || c_name"
     sfull = shead + " || ' so that my balance of ' || printf('%.2f', c_acctbal) || ' stays correct.'"
@@ -328,7 +336,9 @@ SELECT prompt_id, step_idx::INTEGER AS step_idx, step FROM b JOIN st USING (sect
     q["embeddings_round_trip"] = """
 SELECT vec_id, len(embedding)::INTEGER AS n, round(list_sum(embedding::DOUBLE[]), 6) AS total,
        round(embedding[1]::DOUBLE, 9) AS first, round(embedding[-1]::DOUBLE, 9) AS last FROM embeddings"""
-    q["rag_from_index"] = q["rag_top1"]
+    q["rag_from_index"] = q["rag_incremental"] = q["rag_top1"]
+    counts = ", ".join(f"(length(t) - length(replace(t, '{c}', '')))::DOUBLE AS {n}" for c, n in (("e", "e"), ("s", "s"), (" ", "spaces")))
+    q["embed_from_store"] = f"SELECT doc_id, length(t)::DOUBLE AS chars, {counts} FROM (SELECT doc_id, coalesce({NORM('text')}, '') AS t FROM documents)"
     texts = [f"CASE WHEN o_orderkey % 4 >= {i} THEN {c} ELSE '' END" for i, c in enumerate(("o_orderstatus", "o_orderpriority", "o_custkey::VARCHAR"), start=1)]
     q["plan_output"] = f"""
 SELECT line, count(*) AS n FROM (
@@ -348,11 +358,13 @@ SELECT prompt_id, i::INTEGER AS iteration,
        resp AS response, CASE WHEN ok THEN {yes} ELSE {no} END AS evaluation, ok AS accepted,
        CASE WHEN NOT ok AND i < {C.MODEL_ROUNDS} THEN {lit(C.SHORTEN)} END AS instructions
 FROM seen WHERE done = 0"""
+    q["refine_resumed"] = q["refine_loop_model"]
     return q
 
 
 def _field(x: str, label: str) -> str:
-    return f"trim(regexp_extract({x}, '(?m)^{label}:[ ]*([^' || chr(10) || ']*)', 1))"
+    """The rest of the first line that begins with the label, list mark or not."""
+    return USTRIP(f"regexp_extract({x}, '(?:^|\\n)[ \\t]*{V.LIST_MARK}{label}:([^\\n]*)', 1)")
 
 
 def _labels_ok(x: str, labels) -> str:
@@ -360,13 +372,16 @@ def _labels_ok(x: str, labels) -> str:
 
 
 def RECORDS(x: str, labels) -> str:
-    """Records of a labelled answer: split before each line of the first label."""
-    head = f"'{labels[0]}:'"
-    return f"list_transform(string_split(chr(10) || {x}, chr(10) || {head})[2:], lambda s: {head} || s)"
+    """Records of a labelled answer: split before each line of the first label,
+    list mark or not; what comes before the first is no record."""
+    return f"list_transform(string_split_regex(chr(10) || {x}, '\\n[ \\t]*{V.LIST_MARK}{labels[0]}:')[2:], lambda s: '{labels[0]}:' || s)"
 
 
 def STORIES(x: str) -> str:
-    return f"list_transform(string_split(regexp_replace({USTRIP(x)}, '{V.STORY_NEXT}', chr(1) || '\\1', 'g'), chr(1)), lambda s: {USTRIP('s')})"
+    """Stories of an answer: split before each beginning of one, list mark or not;
+    what comes before the first is no story, unless there is none."""
+    parts = f"string_split(regexp_replace(chr(10) || {USTRIP(x)}, '{V.STORY_NEXT}', chr(1) || '\\1', 'g'), chr(1))"
+    return f"list_transform(CASE WHEN len({parts}) > 1 THEN {parts}[2:] ELSE {parts} END, lambda s: {USTRIP('s')})"
 
 
 def STORY_OK(x: str) -> str:

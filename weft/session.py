@@ -69,12 +69,13 @@ def cut_lineage(df: DataFrame, name: str = "stage") -> DataFrame:
 
 
 def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Round-robin repartition only when the input has fewer partitions than
-    the session can run at once (e.g. one small file). On a cluster reading
-    many files this is a no-op, so no shuffle is added where the scan already
-    parallelises."""
-    if df.isStreaming:
-        return df  # micro-batches are planned by the stream source
+    """Round-robin repartition only when a scan has fewer partitions than the
+    session can run at once (e.g. one small file). On a cluster reading many
+    files this is a no-op, so no shuffle is added where the scan already
+    parallelises. An input that shuffles has its partitions sized by AQE: it is
+    left as it is, since asking for their number would run its stages."""
+    if df.isStreaming or df._jdf.queryExecution().executedPlan().getClass().getSimpleName() == "AdaptiveSparkPlanExec":
+        return df
     want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() < want:
         return df.repartition(want)
@@ -137,6 +138,32 @@ def table_size(df: DataFrame) -> tuple[int, int]:
     return int(r["n"]), int(r["b"])
 
 
+def write_measured(df: DataFrame, name: str = "stage", path: str | None = None, **counts) -> tuple[DataFrame, dict]:
+    """``cut_lineage`` that also counts while it writes: the table read back,
+    and ``rows``, ``bytes`` (as ``row_bytes``) and the sums of ``counts``
+    (name = numeric column), without a job of their own."""
+    from pyspark.sql import Observation
+    from pyspark.sql import functions as F
+
+    spark = df.sparkSession
+    path = path or scratch_path(spark, name)
+    seen = Observation(f"written-{uuid.uuid4().hex[:12]}")
+    sums = [F.coalesce(F.sum(c), F.lit(0)).alias(n) for n, c in counts.items()]
+    df.observe(seen, F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(row_bytes(df)), F.lit(0)).alias("bytes"), *sums).write.mode("overwrite").parquet(path)
+    out = spark.read.parquet(path)
+    found = dict(seen.get)
+    if "rows" not in found:  # an input known to be empty is not observed
+        found = out.agg(F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(row_bytes(out)), F.lit(0)).alias("bytes"), *sums).first().asDict()
+    return out, {k: int(v) for k, v in found.items()}
+
+
+def broadcast_measured(df: DataFrame, sizes: dict, max_rows: int, max_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
+    """``broadcast_if_small`` of a table measured by ``write_measured``."""
+    from pyspark.sql import functions as F
+
+    return F.broadcast(df) if sizes["rows"] <= max_rows and sizes["bytes"] <= max_bytes else df
+
+
 def broadcast_if_small(df: DataFrame, max_rows: int, max_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
     """Broadcast-hint ``df`` only after checking it has at most ``max_rows``
     rows and ``max_bytes`` estimated bytes; above that, leave it to a shuffle
