@@ -92,10 +92,9 @@ def test_blocks_and_pair_sums_of_any_size():
     def run(rows, summed):
         language = divergence._Language("en", sources, counts.sum(axis=0), 40, 3)
         language.sums = np.zeros((7, 7), np.int64) if summed else None
-        out = []
-        for lo in range(0, 40, rows):
-            out += list(language.block(terms[lo : lo + rows], held[lo : lo + rows], ns[lo : lo + rows]))
-        out += list(language.end())
+        language.rows = rows
+        part = pa.RecordBatch.from_arrays([terms, held, ns], names=["term", "sources", "counts"])
+        out = [*language.add(part.slice(0, 13)), *language.add(part.slice(13)), *language.end()]
         pairs, best = Counter(), defaultdict(list)
         for b in out:
             for r in b.to_pylist():

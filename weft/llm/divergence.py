@@ -48,9 +48,11 @@ MIN_DOCS, TOP = 10, 10
 GAP = r"[\x00-\x40\x5B-\x60\x7B-\x7F]+"
 SCALE_STEPS = 3  # 10^9 as three factors of 1000
 #: Rows of merged partial counts a task holds before it passes them on.
-HELD_ROWS = 400_000
+HELD_ROWS = 600_000
 #: Cells of a terms x sources block, and most cells of a task's table of pair sums.
 BLOCK_CELLS, SUM_CELLS = 2_000_000, 1_000_000
+#: Sums and languages that a task holds before it passes them all on.
+OPEN_CELLS, OPEN_LANGUAGES = 8_000_000, 256
 
 COUNTS_SCHEMA = "lang string, source string, term string, n long, docs long"
 
@@ -166,6 +168,30 @@ class _Language:
         n = len(sources)
         self.rows = max(1, BLOCK_CELLS // n)
         self.sums = np.zeros((n, n), np.int64) if n * n <= SUM_CELLS else None
+        self.held: list[pa.RecordBatch] = []
+        self.count = 0
+
+    def add(self, part: pa.RecordBatch):
+        """Rows (term, sources, counts), passed on block by block. The empty term
+        lists the sources: it is no term, but their pairs exist."""
+        marks = int(pc.sum(pc.equal(part.column("term"), "")).as_py() or 0)
+        if marks and self.sums is None:
+            for a in range(len(self.sources) - 1):
+                yield from self.pair_rows(a, np.zeros(len(self.sources) - a - 1, np.int64))
+        if marks:
+            part = part.filter(pc.not_equal(part.column("term"), ""))
+        for lo in range(0, part.num_rows, self.rows):
+            some = part.slice(lo, self.rows)
+            if self.count + some.num_rows > self.rows:
+                yield from self.flush()
+            self.held.append(some)
+            self.count += some.num_rows
+
+    def flush(self):
+        if self.count:
+            block = pa.Table.from_batches(self.held).combine_chunks()
+            self.held, self.count = [], 0
+            yield from self.block(*(block.column(c).combine_chunks() for c in ("term", "sources", "counts")))
 
     def pair_rows(self, first: int, sums: np.ndarray):
         """Rows of the pairs (first, later sources)."""
@@ -199,6 +225,7 @@ class _Language:
                 yield _found("term", *names, pa.array(f[best]))
 
     def end(self):
+        yield from self.flush()
         if self.sums is not None:
             for a in range(len(self.sources) - 1):
                 yield from self.pair_rows(a, self.sums[a, a + 1 :])
@@ -217,48 +244,24 @@ def shard_divergences(shards: DataFrame, groups_path: str, top: int) -> DataFram
 
         system, folder = open_folder(groups_path)
         source = ds.dataset(folder, filesystem=system, format="parquet", exclude_invalid_files=True)
-        current = None
-        held: list[pa.RecordBatch] = []
-        rows = 0
-
-        def flush():
-            if rows:
-                block = pa.Table.from_batches(held).combine_chunks()
-                yield from current.block(*(block.column(c).combine_chunks() for c in ("term", "sources", "counts")))
-
+        # a task sums over all its files: one row per pair leaves it, however many they are
+        open_: dict[str, _Language] = {}
+        cells = 0
         for batch in batches:
-            lo = 0
-            langs = batch.column("lang")
-            # runs of one language: the rows come sorted
-            encoded = langs.dictionary_encode().indices.to_numpy(zero_copy_only=False)
-            ends = [*(np.nonzero(np.diff(encoded))[0] + 1).tolist(), batch.num_rows]
-            for hi in ends:
-                if hi == lo:
-                    continue
-                name = langs[lo].as_py()
-                if current is None or current.name != name:
-                    if current is not None:
-                        yield from flush()
-                        yield from current.end()
+            langs = batch.column("lang").dictionary_encode()
+            for code, name in enumerate(langs.dictionary.to_pylist()):
+                if name not in open_:
                     own = source.to_table(filter=ds.field("lang") == name).sort_by("source")
-                    names, totals = own["source"].combine_chunks(), own["total"].to_numpy()
-                    current, held, rows = _Language(name, names, totals, own["terms"][0].as_py(), top), [], 0
-                while lo < hi:
-                    if batch.column("term")[lo].as_py() == "":
-                        lo += 1  # the list of sources: no term, but its pairs exist
-                        if current.sums is None:
-                            for a in range(len(current.sources) - 1):
-                                yield from current.pair_rows(a, np.zeros(len(current.sources) - a - 1, np.int64))
-                        continue
-                    n = min(hi - lo, current.rows - rows)
-                    held.append(batch.slice(lo, n).select(["term", "sources", "counts"]))
-                    rows, lo = rows + n, lo + n
-                    if rows >= current.rows:
-                        yield from flush()
-                        held, rows = [], 0
-        if current is not None:
-            yield from flush()
-            yield from current.end()
+                    new = _Language(name, own["source"].combine_chunks(), own["total"].to_numpy(), own["terms"][0].as_py(), top)
+                    cells += new.sums.size if new.sums is not None else 0
+                    open_[name] = new
+                yield from open_[name].add(batch.filter(pc.equal(langs.indices, code)).select(["term", "sources", "counts"]))
+            if cells > OPEN_CELLS or len(open_) > OPEN_LANGUAGES:
+                for language in open_.values():
+                    yield from language.end()
+                open_, cells = {}, 0
+        for language in open_.values():
+            yield from language.end()
 
     return shards.mapInArrow(frugal(task), "lang string, source string, part string, item string, value long")
 
