@@ -16,6 +16,7 @@ from weft.functions.vectors import cosine
 from weft.operators.chunking import chunk, extract_steps
 from weft.operators.completion import CallableCompleter, ExtractiveCompleter, ModelJudge, Rule, complete, max_length_rule, request_hash
 from weft.operators.embedding import CallableEmbedder, HashingEmbedder, vector_store
+from weft.operators.metrics import loop_metrics, loop_partials, margin, margin_partials, quantiles, roll_up
 from weft.operators.refine import answer_then_refine, refine
 from weft.operators.routing import (
     FALLBACK_RESPONSE,
@@ -162,6 +163,28 @@ def route_best(spark, d):
     return best_routes(prompts, routes).select("vec_id", "route_pos", "score_label")
 
 
+MARGIN_PROBABILITIES = (0.1, 0.5, 0.9)
+MARGIN_RANK_ERROR = 0.01
+
+
+def route_margins(spark, d):
+    """Quantiles of routing margins per router and over all (-1), from sketches kept
+    per router and label and rolled up; whether each one's true rank is within the
+    stated error."""
+    prompts, routes, _ = _routed_embeddings(spark, d)
+    scored = score_routes(prompts.withColumn("label", F.col("vec_id") % 7), routes)
+    margins = cut_lineage(scored.select("router_id", "label", margin("scores").alias("margin")), "margins")
+    kept = cut_lineage(margin_partials(margins, "margin", ["router_id", "label"]), "sketches")
+    whole = roll_up(kept).select(F.lit(-1).cast("long").alias("router_id"), "n", "total", "least", "greatest", "sketch")
+    found = quantiles(roll_up(kept, ["router_id"]).unionByName(whole), MARGIN_PROBABILITIES)
+    everyone = margins.unionByName(margins.withColumn("router_id", F.lit(-1).cast("long"))).select("router_id", "margin")
+    below = everyone.join(F.broadcast(found), "router_id").groupBy("router_id", "probability").agg(
+        F.first("n").alias("n"), F.sum((F.col("margin") <= F.col("quantile")).cast("long")).alias("upto"), F.sum((F.col("margin") < F.col("quantile")).cast("long")).alias("below"))
+    slack = F.col("n") * MARGIN_RANK_ERROR + 1
+    at = F.col("n") * F.col("probability")
+    return below.select("router_id", "probability", "n", ((F.col("upto") >= at - slack) & (F.col("below") <= at + slack)).alias("within_error"))
+
+
 def route_fallback(spark, d):
     prompts, routes, agents = _routed_embeddings(spark, d, split_routers=True)
     routed = attach_agent(best_routes(prompts, routes, router_col="router_id"), agents)
@@ -367,6 +390,17 @@ def _refined(spark, d):
     return refine(refine_requests(spark, d), max_length_rule(REFINE_MAX_CHARS), P.MAX_INTERACTIONS)
 
 
+def trace_metrics(spark, d):
+    """Acceptance and iterations per conversation parity and over all (-1), rolled up
+    from one row per conversation and iteration."""
+    _, trace = _refined(spark, d)
+    conv = F.floor(F.col("prompt_id") / PROMPT_ID_STRIDE).cast("long")
+    kept = cut_lineage(loop_partials(trace.withColumn("conv_id", conv), ["conv_id"]), "partials").withColumn("parity", F.col("conv_id") % 2)
+    both = kept.unionByName(kept.withColumn("parity", F.lit(-1).cast("long")))
+    found = loop_metrics(both, ["parity"])
+    return found.select("parity", "prompts", *[F.round(c, 9).alias(c) for c in ("acceptance_rate", "accepted_at_once", "mean_iterations")])
+
+
 def refine_loop(spark, d):
     result, _ = _refined(spark, d)
     return result
@@ -638,6 +672,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "route_scores": route_scores,
     "route_best": route_best,
     "route_fallback": route_fallback,
+    "route_margins": route_margins,
     "prompt_direct": prompt_direct,
     "prompt_persona": prompt_persona,
     "prompt_knowledge": prompt_knowledge,
@@ -654,6 +689,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "verdicts": verdicts,
     "refine_loop": refine_loop,
     "refine_trace": refine_trace,
+    "trace_metrics": trace_metrics,
     "answer_then_refine": answer_then_refine_q,
     "route_respond": route_respond,
     "rag_answer": rag_answer_q,

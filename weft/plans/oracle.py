@@ -177,6 +177,11 @@ WITH {_route_sims('WHERE _e.label % 2 = _c.route % 2 AND _c.route % 2 = 0')},
 SELECT e.vec_id, coalesce('Vectors near label ' || b.route::VARCHAR, {lit(FALLBACK_RESPONSE)}) AS response, b.route IS NOT NULL AS routed
 FROM embeddings e LEFT JOIN b ON b.vec_id = e.vec_id AND b.rn = 1"""
 
+    probabilities = ", ".join(f"({p}::DOUBLE)" for p in C.MARGIN_PROBABILITIES)
+    q["route_margins"] = f"""
+WITH r AS (SELECT (label % 2)::BIGINT AS router_id FROM embeddings UNION ALL SELECT -1 FROM embeddings)
+SELECT router_id, probability, count(*) AS n, true AS within_error FROM r, (VALUES {probabilities}) p(probability) GROUP BY ALL"""
+
     # prompt rendering
     q["prompt_direct"] = _msgs_sql("item_id", "NULL::VARCHAR", "text", "benchmark")
     q["prompt_persona"] = _msgs_sql(
@@ -229,6 +234,12 @@ SELECT r.h AS request_hash, response, (f.h IS NULL)::INTEGER AS calls_2, 0 AS ca
     q["refine_trace"] = f"""WITH {REQ}, {_refine_sql('req', 'prompt')}
 SELECT prompt_id, i::INTEGER AS iteration, (i = iterations AND accepted) AS accepted
 FROM (SELECT prompt_id, iterations, accepted, unnest(range(1, iterations + 1)) AS i FROM final)"""
+    q["trace_metrics"] = f"""WITH {REQ}, {_refine_sql('req', 'prompt')},
+     both_ AS (SELECT (prompt_id // {C.PROMPT_ID_STRIDE}) % 2 AS parity, * FROM final UNION ALL SELECT -1, * FROM final)
+SELECT parity::BIGINT AS parity, count(*) AS prompts, round(sum(accepted::INT) / count(*), 9) AS acceptance_rate,
+       round(sum((accepted AND iterations = 1)::INT) / nullif(sum(accepted::INT), 0), 9) AS accepted_at_once,
+       round(sum(iterations) / count(*), 9) AS mean_iterations
+FROM both_ GROUP BY parity"""
     q["answer_then_refine"] = f"""WITH {REQ},
      first_c AS ({extractive('prompt_id', 'req', 'prompt', 'knowledge')}),
      req2 AS (SELECT r.prompt_id, coalesce(f.sent, '') AS prompt, r.knowledge
