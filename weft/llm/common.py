@@ -8,6 +8,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from weft.operators.side import open_folder  # noqa: F401
 
@@ -19,6 +20,18 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def hash_sample(df: DataFrame, keys: list[str], limit: int, n: int | None = None) -> DataFrame:
+    """``limit`` rows of ``df`` (all, if fewer): those with the smallest hash of
+    ``keys``, which should tell rows apart. ``n`` is the number of rows if known.
+    A threshold lets about twice the wanted rows leave the tasks, however many
+    tasks there are."""
+    n = df.count() if n is None else n
+    at = F.pmod(F.xxhash64(*keys), F.lit(1 << 40))
+    if n > 2 * limit:
+        df = df.where(at < int((1 << 40) * (2 * limit + 50) / n))
+    return df.orderBy(at, *keys).limit(limit)
+
+
 def texts(column) -> Iterator[str]:
     """The values of a string column one by one (never a second whole copy of
     the batch); null counts as empty."""

@@ -43,6 +43,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from weft.llm.boosting import Trees, fit_isotonic, fit_trees
+from weft.llm.common import hash_sample
+from weft.session import cut_lineage
 
 KINDS = ("email", "ip", "card", "phone")
 SAMPLE_SPANS = 20_000
@@ -63,13 +65,15 @@ PHONE_LAYOUT = r"^\+[0-9]{1,3}[\x20.-]?(?:\([0-9]{2,4}\)|[0-9]{2,4})[\x20.-]?[0-
 NUMBER_AFTER = r"^\x20(?:\(|(?:[0-9]{1,3}\.){3}[0-9]{1,3}(?![0-9])|[0-9]{1,2}[.-][0-9]{1,2}[.-][0-9]{2,4}(?![0-9])|[0-9]{4}-[0-9]{2}-[0-9]{2}(?![0-9])|[0-9]{13}|(?:[0-9]{4}[\x20-]){3}[0-9]{4}(?![0-9]))"
 PHONE_NATIONAL = r"(?<![0-9+.-])(?<!\+[0-9]{1,3}[\x20.-]?)(?:\([0-9]{3}\)\x20?|[0-9]{3}[.-])[0-9]{3}[.-][0-9]{4}(?![0-9.-])"
 PHONE_TRUNK = r"(?<![0-9+.-])(?<![0-9][\x20().-]{1,4})(?:\(0[1-9][0-9]{1,4}\)\x20?[0-9]{3,8}(?:[\x20-][0-9]{2,8}){0,3}|0[1-9][0-9]{1,4}(?:[\x20-][0-9]{2,8}){1,4}|0[1-9](?:[\x20.][0-9]{2}){4})(?![0-9])(?![\x20.-][0-9])"
-EMAIL_SPELLED = r"(?i)(?<![A-Z0-9._%+-])[A-Z0-9._%+-]{1,64}+\x20?[\(\[{]\x20?at\x20?[\)\]}]\x20?[A-Z0-9-]{1,63}+(?:(?:\.|\x20?[\(\[{]\x20?dot\x20?[\)\]}]\x20?)[A-Z0-9-]{1,63}+){1,4}+"
+EMAIL_SPELLED = r"(?i)(?<![A-Z0-9._%+-])[A-Z0-9._%+-]{1,64}+\x20?[\(\[{]\x20?at\x20?[\)\]}]\x20?[A-Z0-9-]{1,63}+(?:(?:\.|\x20?[\(\[{]\x20?dot\x20?[\)\]}]\x20?)[A-Z0-9-]{1,63}+)++"
 OCTETS = r"^0*(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])(?:\.0*(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])){3}$"
 CUES = r"(?i)(?:tel|phone|fon|call|mobile|card|visa|credit|mail|contact|ip|host|addr\w*)\W*$"
 CODES = r"(?i)(?:token|key|hash|id|no|nr|sku|isbn|version|v)\W*$"
 
 FORMAT = ("kind", "digits", "groups", "separators")
 FEATURES = (*FORMAT, "joined_left", "joined_right", "quoted", "cue", "code", "goes_on")
+#: Equal spans in equal surroundings that the sample may hold.
+COPIES = 64
 #: Rank of a span's end from which its number goes on.
 GOES_ON = 3.0
 #: Digits of the longest number of a kind.
@@ -282,7 +286,12 @@ def train(found: DataFrame, sample_spans: int = SAMPLE_SPANS, threshold: float =
     rows = [labelled(k, short(k)) for k in KINDS]
     whole = lambda c: F.length(F.regexp_extract(c["r"], r"^[\x20().-]*[0-9]", 0)) == 0
     rows.append(labelled("phone", F.filter(_prefixes(F.col("base.phone"), 4, 14), lambda c: ~whole(c)), F.lit(False)))
-    sample = found.select(F.explode(F.concat(*rows)).alias("c")).select("c.*").orderBy("h", "y").limit(sample_spans).collect()
+    # written once, so that it is counted before it is sampled; equal spans in equal
+    # surroundings are aggregated first and count COPIES times at most, as copies of
+    # a document would else fill the sample
+    spans = found.select(F.explode(F.concat(*rows)).alias("c")).select("c.*").groupBy("x", "y", "h").agg(F.count(F.lit(1)).alias("n"))
+    spans = cut_lineage(spans.select("x", "y", "h", F.explode(F.sequence(F.lit(1), F.least(F.col("n"), F.lit(COPIES)).cast("int"))).alias("copy")), "spans")
+    sample = hash_sample(spans, ["h", "y", "copy"], sample_spans).collect()
     x, y = np.array([r["x"] for r in sample], float).reshape(len(sample), len(FEATURES)), np.array([r["y"] for r in sample], float)
     held = np.array([r["h"] % 3 == 0 for r in sample], bool)
     if len(set(y[held].tolist())) < 2 or len(set(y[~held].tolist())) < 2:
@@ -317,8 +326,10 @@ def _disjoint(spans: Column) -> Column:
 
 def find(docs: DataFrame, text_col: str = "text", model: Model | None = None) -> DataFrame:
     """``docs`` with ``base_spans`` and ``all_spans``: per kind an array of
-    (s, e), in order. ``all_spans`` holds the base spans and the selected ones."""
-    found = with_matches(docs, text_col)
+    (s, e), in order; columns of those names are replaced. ``all_spans`` holds the base spans and the selected ones."""
+    # the row is kept as one value, so that no column of it meets one made here
+    kept = docs.drop("base_spans", "all_spans")
+    found = with_matches(docs.select(F.struct(*[F.col(f"`{c}`") for c in kept.columns]).alias("_row"), F.col(text_col).alias("_text")), "_text")
     model = model or train(found)
     plain = lambda spans: F.transform(spans, lambda c: F.struct(c["s"].alias("s"), c["e"].alias("e")))
     base = F.struct(*[plain(F.col(f"base.{k}")).alias(k) for k in KINDS])
@@ -327,7 +338,7 @@ def find(docs: DataFrame, text_col: str = "text", model: Model | None = None) ->
         return _disjoint(F.filter(F.col(f"proposed.{kind}"), lambda c: model.accepts(kind, c)))
 
     every = F.struct(*[F.when(F.size(f"proposed.{k}") > 0, F.array_sort(F.array_union(plain(F.col(f"base.{k}")), selected(k)))).otherwise(plain(F.col(f"base.{k}"))).alias(k) for k in KINDS])
-    return found.withColumn("base_spans", base).withColumn("all_spans", every).drop("base", "failed", "proposed")
+    return found.select("_row.*", base.alias("base_spans"), every.alias("all_spans"))
 
 
 def spelled(spans: str) -> Column:
