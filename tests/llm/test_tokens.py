@@ -133,7 +133,7 @@ def test_packing_is_whole(spark, make, enc, group_rows):
     docs_tokens = {}
     for doc, text in ODD:
         docs_tokens.setdefault(doc, []).append(len(library_ids(enc, text)) + 1)
-    rows = packing.pack_documents(make(ODD), capacity=256, quantum=16, group_rows=group_rows).collect()
+    rows = packing.pack_documents(make(ODD), capacity=256, group_rows=group_rows).collect()
     check_packing(rows, docs_tokens, 256)
     text = dict(ODD[3:4] + ODD[8:])
     for r in rows:
@@ -147,6 +147,16 @@ def test_packing_of_an_empty_table(make):
     assert packing.pack_documents(make([])).count() == 0
 
 
+@pytest.mark.parametrize("longest", [1, 3, 17, 40, 100])
+def test_short_texts_are_packed_with_little_padding(make, enc, longest):
+    rnd = np.random.default_rng(longest)
+    rows = [(i, "the " * int(n)) for i, n in enumerate(rnd.integers(0, longest, 60_000 // longest))]
+    docs_tokens = {i: [len(library_ids(enc, t)) + 1] for i, t in rows}
+    packed = packing.pack_documents(make(rows), with_ids=False, capacity=1024).collect()
+    sequences, total = check_packing(packed, docs_tokens, 1024)
+    assert (len(sequences) - 1) * 1024 <= 1.05 * total
+
+
 def test_op3_pads_little(spark, enc):
     docs = {r["doc_id"]: [len(library_ids(enc, r["text"])) + 1] for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
     sequences, total = check_packing(queries.QUERIES["op3_column_packing"](spark, SF).collect(), docs, 4096)

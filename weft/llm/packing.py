@@ -2,8 +2,9 @@
 
 1. Every text is encoded whole; a document longer than a sequence is cut into
    full sequences and a remainder, other documents stay in one piece.
-2. Piece lengths are counted per length class (length rounded up to a multiple
-   of ``quantum``): at most ``capacity / quantum`` counts reach the driver.
+2. Piece lengths are counted per length class: exact up to ``SHORT``, rounded up
+   to multiples of 4, 8 and 16 beyond, so that rounding costs some two parts in a
+   hundred at most. At most some hundred counts reach the driver.
 3. A linear program over patterns (how many pieces of each class share a
    sequence) is solved by column generation: the dual prices of the classes go
    into an unbounded knapsack, solved by dynamic programming over the capacity;
@@ -11,6 +12,8 @@
 4. Pattern counts are rounded down; what is left over (less than one sequence
    per pattern, so bounded by the number of classes) is packed first-fit by
    decreasing size.
+   Short pieces are first cut out of bundles of ``BUNDLE`` in the same way; a
+   bundle is then one piece of that length.
 5. Pieces are ranked within their class by (document, start) and rank ``r``
    takes the ``r``-th slot of its class in the list of patterns. A large class
    is ranked in several hashed groups whose sizes give each group's first rank,
@@ -30,7 +33,7 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from weft.llm.common import frugal, texts
@@ -38,8 +41,10 @@ from weft.llm.encoding import END_ID, broadcast_tokenizer, encoder
 from weft.session import broadcast_if_small, cut_lineage, ship_package
 
 CAPACITY = 4096
-#: Width of a length class; the padding it costs is at most this per piece.
-QUANTUM = 16
+#: Pieces up to SHORT are packed by exact length, into bundles of BUNDLE.
+SHORT, BUNDLE = 64, 256
+#: Lengths of longer pieces are counted in this unit; (most length, multiple it is rounded up to).
+UNIT, ROUNDED = 4, ((256, 4), (512, 8), (CAPACITY, 16))
 #: Relative gap to the linear program's bound at which column generation ends.
 TOLERANCE = 3e-3
 #: Pieces ranked in one group.
@@ -47,24 +52,29 @@ GROUP_ROWS = 20_000
 
 
 # ---------------------------------------------------------------------------
-# the cutting-stock program (on the driver, over at most CAPACITY / QUANTUM classes)
+# the cutting-stock program (on the driver, over some hundred classes)
 # ---------------------------------------------------------------------------
 
 
 def _best_pattern(prices: np.ndarray, sizes: np.ndarray, capacity: int) -> tuple[float, np.ndarray]:
-    """Unbounded knapsack: the most valuable pattern of at most ``capacity``."""
-    value = np.zeros(capacity + 1)
-    value[sizes] = prices
-    best, pick = np.zeros(capacity + 1), np.zeros(capacity + 1, np.int64)
+    """Unbounded knapsack: the most valuable pattern of at most ``capacity``;
+    ``sizes`` ascend."""
+    fitting = np.searchsorted(sizes, np.arange(capacity + 1), side="right").tolist()
+    best, pick = np.zeros(capacity + 1), np.full(capacity + 1, -1)
     for room in range(1, capacity + 1):
-        gain = best[room - 1 :: -1][:room] + value[1 : room + 1]
-        k = int(gain.argmax())
-        best[room], pick[room] = gain[k], k + 1
-    counts, room, of = np.zeros(len(sizes)), capacity, {int(s): i for i, s in enumerate(sizes)}
+        best[room] = best[room - 1]
+        if n := fitting[room]:
+            gain = best[room - sizes[:n]] + prices[:n]
+            k = int(gain.argmax())
+            if gain[k] > best[room]:
+                best[room], pick[room] = gain[k], k
+    counts, room = np.zeros(len(sizes)), capacity
     while room > 0:
-        if (i := of.get(int(pick[room]))) is not None and value[pick[room]] > 0:
-            counts[i] += 1
-        room -= int(pick[room])
+        if pick[room] < 0:
+            room -= 1
+        else:
+            counts[pick[room]] += 1
+            room -= int(sizes[pick[room]])
     return float(best[capacity]), counts
 
 
@@ -184,14 +194,36 @@ def cut_pieces(docs: DataFrame, tokenizer: str | None = None, end_id: int | None
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(frugal(cut), PIECE_SCHEMA)
 
 
-def pack(pieces: DataFrame, capacity: int = CAPACITY, quantum: int = QUANTUM, group_rows: int = GROUP_ROWS) -> DataFrame:
+def _class_of(length: Column, capacity: int) -> Column:
+    """Class of a piece: minus its length if it is short, else its rounded length in units."""
+    rounded = F.when(length <= min(SHORT, capacity), -length)
+    for most, step in ROUNDED:
+        rounded = rounded.when(length <= most, F.ceil(length / step) * (step // UNIT))
+    rounded = rounded.otherwise(F.ceil(length / ROUNDED[-1][1]) * (ROUNDED[-1][1] // UNIT))
+    return F.when(rounded > 0, F.least(rounded, F.lit(capacity // UNIT))).otherwise(rounded).cast("int")
+
+
+def _plan(counts: dict[int, int], capacity: int):
+    """Slots of each class, and those of bundles: short classes take slots of
+    bundles, bundles and longer classes those of sequences."""
+    short = {-c: n for c, n in counts.items() if c < 0}
+    size = min(BUNDLE, capacity)
+    bundled = plan_patterns(short, size)
+    bundles = sum(times for _, times in bundled)
+    longer = {c: n for c, n in counts.items() if c > 0}
+    if bundles:
+        longer[size // UNIT] = longer.get(size // UNIT, 0) + bundles
+    table = slots(plan_patterns(longer, capacity // UNIT))
+    return {-c: s for c, s in slots(bundled).items()}, table, size // UNIT, bundles
+
+
+def pack(pieces: DataFrame, capacity: int = CAPACITY, group_rows: int = GROUP_ROWS) -> DataFrame:
     """``pieces`` (doc_id, start, length <= capacity, ids_crc32, ...) with
     sequence_id and offset. ``pieces`` is read several times: pass a written table."""
-    units = capacity // quantum
-    sized = pieces.withColumn("_class", F.least(F.ceil(F.col("length") / quantum), F.lit(units)).cast("int"))
+    spark = pieces.sparkSession
+    sized = pieces.withColumn("_class", _class_of(F.col("length"), capacity))
     counts = {int(r["_class"]): int(r["n"]) for r in sized.groupBy("_class").agg(F.count(F.lit(1)).alias("n")).collect()}
-    # sizes that a capacity which is no multiple of the quantum still holds
-    table = slots(plan_patterns(counts, units))
+    in_bundles, table, bundle, bundles = _plan(counts, capacity)
     groups = {c: -(-n // group_rows) for c, n in counts.items()}
     many = {c: g for c, g in groups.items() if g > 1}
     number = F.lit(0)
@@ -199,35 +231,39 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, quantum: int = QUANTUM, gr
         per_class = F.create_map(*[F.lit(v) for pair in many.items() for v in pair])
         number = F.pmod(F.xxhash64("doc_id", "start"), F.coalesce(per_class[F.col("_class")], F.lit(1))).cast("int")
     grouped = sized.withColumn("_group", number)
-    first: dict[tuple[int, int], int] = {}
-    seen: dict[int, int] = {}
+    order = Window.partitionBy("_class", "_group").orderBy(F.asc_nulls_first("doc_id"), "start", "ids_crc32")
+    ranked = grouped.withColumn("_rank", F.row_number().over(order) - 1)
+    # pieces of a bundle's length come after the bundles of their class
+    first: list[tuple[int, int, int]] = [(bundle, 0, bundles)] if bundles and bundle in counts and bundle not in many else []
+    seen: dict[int, int] = {bundle: bundles}
     if many:  # about rows / group_rows counts
         for r in grouped.where(F.col("_class").isin(list(many))).groupBy("_class", "_group").count().orderBy("_class", "_group").collect():
-            first[r["_class"], r["_group"]] = seen.get(r["_class"], 0)
+            first.append((r["_class"], r["_group"], seen.get(r["_class"], 0)))
             seen[r["_class"]] = seen.get(r["_class"], 0) + r["count"]
-    order = Window.partitionBy("_class", "_group").orderBy(F.asc_nulls_first("doc_id"), "start", "ids_crc32")
-    ranked = grouped.withColumn("_rank", F.row_number().over(order) - 1)
-    spark = pieces.sparkSession
-    if many:
-        bases = spark.createDataFrame([(c, g, n) for (c, g), n in first.items()], "_class int, _group int, _base long")
+    if first:
+        bases = spark.createDataFrame(first, "_class int, _group int, _base long")
         ranked = ranked.join(broadcast_if_small(bases, 1_000_000), ["_class", "_group"], "left").withColumn("_rank", F.col("_rank") + F.coalesce("_base", F.lit(0)))
-    # one row per class: its patterns' first ranks, first sequences and pieces per sequence
-    rows = [(c, *(a.tolist() for a in columns)) for c, columns in table.items()]
-    of_class = spark.createDataFrame(rows, "_class int, _ranks array<long>, _sequences array<long>, _per array<long>")
-    k = F.size(F.filter("_ranks", lambda x: x <= F.col("_rank")))
-    placed = ranked.join(F.broadcast(of_class), "_class").withColumn("_k", k).select(
-        *pieces.columns,
-        (F.element_at("_sequences", F.col("_k")) + F.floor((F.col("_rank") - F.element_at("_ranks", F.col("_k"))) / F.element_at("_per", F.col("_k")))).cast("long").alias("sequence_id"),
-    )
+    # one row per class: its patterns' first ranks, first containers and pieces per
+    # container; for the bundled classes those of the bundles behind them
+    lists = lambda columns: tuple(a.tolist() for a in columns)
+    rows = [(c, *lists(table[c]), None, None, None) for c in counts if c > 0] + [(c, *lists(s), *lists(table[bundle])) for c, s in in_bundles.items()]
+    of_class = spark.createDataFrame(rows, "_class int, _ranks array<long>, _in array<long>, _per array<long>, _ranks2 array<long>, _in2 array<long>, _per2 array<long>")
+
+    def container(rank: Column, ranks: str, inside: str, per: str) -> Column:
+        k = F.size(F.filter(ranks, lambda x: x <= rank))
+        return (F.element_at(inside, k) + F.floor((rank - F.element_at(ranks, k)) / F.element_at(per, k))).cast("long")
+
+    placed = ranked.join(F.broadcast(of_class), "_class").withColumn("_at", container(F.col("_rank"), "_ranks", "_in", "_per"))
+    placed = placed.select(*pieces.columns, F.when(F.col("_class") > 0, F.col("_at")).otherwise(container(F.col("_at"), "_ranks2", "_in2", "_per2")).alias("sequence_id"))
     inside = Window.partitionBy("sequence_id").orderBy(F.desc("length"), F.asc_nulls_first("doc_id"), "start", "ids_crc32")
     return placed.withColumn("offset", F.sum("length").over(inside.rowsBetween(Window.unboundedPreceding, 0)) - F.col("length"))
 
 
-def pack_documents(docs: DataFrame, tokenizer: str | None = None, with_ids: bool = True, capacity: int = CAPACITY, quantum: int = QUANTUM, group_rows: int = GROUP_ROWS) -> DataFrame:
+def pack_documents(docs: DataFrame, tokenizer: str | None = None, with_ids: bool = True, capacity: int = CAPACITY, group_rows: int = GROUP_ROWS) -> DataFrame:
     """Packed pieces of whole texts. ``with_ids=False`` leaves the ids
     themselves out of what is shuffled; their checksum stays."""
-    if capacity % quantum:
-        raise ValueError("the capacity must be a multiple of the quantum")
+    if capacity % UNIT:
+        raise ValueError(f"the capacity must be a multiple of {UNIT}")
     pieces = cut_pieces(docs, tokenizer, capacity=capacity)
     pieces = cut_lineage(pieces if with_ids else pieces.drop("ids"), "pieces")
-    return pack(pieces, capacity, quantum, group_rows)
+    return pack(pieces, capacity, group_rows)
