@@ -13,11 +13,12 @@ with the smallest hash of their id) of the folds that are not held out:
    regression on a fold that the lexicon has not seen.
 
 Scores use the text alone. The fold of a row is ``crc32(doc_id as text) mod 4``:
-2 is held out, 3 calibrates, 0 and 1 teach the lexicon; all but 2 train trees.
+2 is held out, 3 calibrates, 0 and 1 teach the lexicon and the trees.
 
 Edge cases: a null text is empty and gets a score like any other; a label that
 is null or whose document is missing is not used; a document labelled twice
-counts as toxic if either label says so; without labels of both kinds every
+counts as toxic if either label says so, a labelled doc_id on several rows teaches
+by one of their texts; without labels of both kinds every
 score is the share of toxic labels (0 without labels); repeated rows get equal
 scores; a null doc_id is scored and not held out; empty tables give empty
 results; extra columns are ignored.
@@ -35,7 +36,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from weft.llm.boosting import fit_isotonic, fit_trees
-from weft.llm.common import frugal, text_slices, texts
+from weft.llm.common import frugal, hash_sample, text_slices, texts
 from weft.session import cut_lineage, ship_package
 
 SAMPLE_ROWS = 20_000
@@ -224,9 +225,11 @@ def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) ->
     ship_package(spark)
     own = labels.where("doc_id IS NOT NULL AND toxic IS NOT NULL").select(F.col("doc_id").cast("long").alias("doc_id"), (F.col("toxic").cast("int") > 0).cast("int").alias("toxic"))
     own = own.withColumn("fold", fold("doc_id")).where("fold <> 2").groupBy("doc_id", "fold").agg(F.max("toxic").alias("toxic"))
-    picked = own.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_rows)  # at most sample_rows rows: safe to broadcast
+    picked = hash_sample(cut_lineage(own, "labels"), ["doc_id"], sample_rows)  # at most sample_rows rows: safe to broadcast
     texts_ = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    sample = cut_lineage(texts_.join(F.broadcast(picked), "doc_id").select("fold", "toxic", "text"), "labelled")
+    found = texts_.join(F.broadcast(picked), "doc_id")
+    # one text per labelled id, however often its row is repeated
+    sample = cut_lineage(found.groupBy("doc_id", "fold", "toxic").agg(F.min("text").alias("text")).select("fold", "toxic", "text"), "labelled")
     counts = {r["toxic"]: r["n"] for r in sample.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
     if len(counts) < 2:
         return Model({}, None, None, float(counts.get(1, 0) > 0))
@@ -236,8 +239,14 @@ def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) ->
     y = np.array([r["toxic"] for r in rows], float)
     order = np.lexsort((*x.T, y))  # the same model however the rows arrive
     x, y, seen = x[order], y[order], np.array([r["fold"] for r in rows])[order]
-    trees = fit_trees(x, y)
-    check = seen == 3 if len(set(y[seen == 3].tolist())) == 2 else np.ones(len(y), bool)
+    # fold 3 calibrates margins of rows that the trees have not seen; too few
+    # labels for that, and all rows do both
+    check = seen == 3
+    if len(set(y[check].tolist())) < 2 or len(set(y[~check].tolist())) < 2:
+        check = np.ones(len(y), bool)
+        trees = fit_trees(x, y)
+    else:
+        trees = fit_trees(x[~check], y[~check])
     return Model(lexicon, trees, fit_isotonic(trees.margin(x[check]), y[check]))
 
 
