@@ -122,8 +122,8 @@ def brute_windows(rows, n=20):
     return sorted(out, key=str)
 
 
-@pytest.mark.parametrize("max_cells", [substring.MAX_CELLS, substring.CHUNK_BITS])
-def test_windows_against_brute_force(spark, make, max_cells):
+@pytest.mark.parametrize("cells", [None, substring.CHUNK_BITS, 64])
+def test_windows_against_brute_force(spark, make, cells):
     rnd = random.Random(2)
     phrase = [f"w{i}" for i in range(60)]
     rows = list(ODD)
@@ -133,10 +133,62 @@ def test_windows_against_brute_force(spark, make, max_cells):
         text[rnd.randint(0, len(text)) :] = phrase[a : a + rnd.randint(5, 60)] + text[:20]
         rows.append((d, rnd.choice((" ", "\n", "\t ")).join(text)))
     rows += [(90, " ".join(phrase)), (3, " ".join(phrase)), (91, "same " * 50)]
-    got = substring.remove_repeats(make(rows).repartition(5), max_cells=max_cells)
+    got = substring.remove_repeats(make(rows).repartition(5), cells=cells)
     assert sorted(((r["doc_id"], r["n_words"], r["n_removed"], r["kept_sha256"]) for r in got.collect()), key=str) == brute_windows(rows)
 
 
+@pytest.mark.parametrize("gib", [0.01, 30])
+def test_sketch_of_any_size_lets_few_unrepeated_windows_pass(spark, make, gib):
+    """The load of a row of cells does not grow with the text: at that of ``gib`` GiB,
+    unrepeated windows are hardly ever grouped."""
+    anchors = int(gib * 2**30) / substring.CHARS_PER_WORD * 2 / 14
+    load = anchors / substring.sketch_cells(int(gib * 2**30))
+    rnd = random.Random(7)
+    rows = [(d, " ".join(str(rnd.random()) for _ in range(400))) for d in range(60)]
+    docs = make(rows, extra=False)
+    found = [substring.Windows(b, 20) for b in docs.toArrow().combine_chunks().to_batches()]
+    own = sum(len(w.g1) for w in found)
+    cells = int(own / load)
+    task = substring.candidates(substring.build_sketch(docs, 20, cells), cells, 20)
+    grouped = docs.mapInArrow(task, "h1 long, h2 long, doc_id long, start long, n long").count()
+    assert grouped <= 0.1 * sum(w.size for w in found)
+    assert own < 0.2 * sum(w.size for w in found)
+
+
+def test_windows_in_small_pieces(spark, make, monkeypatch):
+    """Short windows under a crowded sketch; gathered pieces of a few words, a sketch
+    read again for each, and chunks of few cells."""
+    rnd = random.Random(3)
+    rows = [(d, " ".join(rnd.choice("abc") for _ in range(rnd.randint(0, 60)))) for d in range(40)]
+    docs = make(rows, extra=False)
+    got = substring.remove_repeats(docs, window=4, cells=1000)
+    assert sorted(((r["doc_id"], r["n_words"], r["n_removed"], r["kept_sha256"]) for r in got.collect()), key=str) == brute_windows(rows, 4)
+    sketch, batches = substring.build_sketch(docs, 4, 1000), docs.toArrow().combine_chunks().to_batches()
+
+    def heads():
+        out = [b for b in substring.candidates(sketch, 1000, 4)(iter(batches))]
+        return {(r["h1"], r["h2"]) for b in out for r in b.to_pylist() if not r["n"]}
+
+    whole = heads()
+    for name, value in (("SLICE_CHARS", 50), ("GATHER_CHARS", 120), ("KEPT_BYTES", 0)):
+        monkeypatch.setattr(substring, name, value)
+    substring._SKETCHES.clear()
+    assert heads() == whole and not substring._SKETCHES
+
+
+def test_sparse_lists_count_as_counters_do(monkeypatch):
+    monkeypatch.setattr(substring, "CHUNK_BITS", 64)
+    rnd = random.Random(5)
+    hashes = [rnd.randrange(1000) for _ in range(400)]
+    chunks = {}
+    for lo in range(0, 400, 37):
+        for b in substring.cell_lists([substring.np.array(hashes[lo : lo + 37], substring.np.uint64)], 0, 1000):
+            for row in b.to_pylist():
+                chunks.setdefault(row["k"], substring.Chunk()).add(row["once"], row["twice"])
+    twice = {k * 64 + int(i) for k, c in chunks.items() for i in c.twice.nonzero()[0]}
+    assert twice == {h for h in hashes if hashes.count(h) > 1}
+
+
 def test_windows_of_an_empty_table(make):
     assert substring.remove_repeats(make([])).count() == 0
 
@@ -173,8 +225,8 @@ def edited(text, k, rnd):
     return "".join(s)
 
 
-@pytest.mark.parametrize("block_chars", [decontam.BLOCK_CHARS, 100])
-def test_contamination_against_brute_force(spark, make, block_chars):
+@pytest.mark.parametrize("block_rows", [decontam.BLOCK_ROWS, 2])
+def test_contamination_against_brute_force(spark, make, block_rows):
     rnd = random.Random(9)
     word = lambda: "".join(rnd.choice("abcdefghij") for _ in range(rnd.randint(2, 9)))
     items = [(i, " ".join(word() for _ in range(rnd.randint(3, 14)))) for i in range(12)]
@@ -190,7 +242,7 @@ def test_contamination_against_brute_force(spark, make, block_chars):
             p, t = decontam.normal_form(item), decontam.normal_form(text or "")
             if (e := brute_distance(p, t[:3000])) <= int(decontam.ERROR_RATE * len(p)):
                 expected.add((d, i, e))
-    got = decontam.contaminated(make(rows), bench, block_chars=block_chars)
+    got = decontam.contaminated(make(rows), bench, block_rows=block_rows, gather_chars=200)
     assert {tuple(r) for r in got.collect()} == expected
     clean = decontam.drop_contaminated(make(rows), bench)
     assert {r["doc_id"] for r in clean.collect()} == {d for d, _ in rows} - {d for d, _, _ in expected}

@@ -8,13 +8,18 @@ piece hits are found by one Aho-Corasick pass over the whole document; the
 surroundings of each hit (``k`` characters wider than the passage) are verified
 with Myers' bit-parallel edit distance with free ends.
 
-The benchmark is read in blocks of at most ``block_chars`` characters, each
-broadcast once, so its size sets the number of scans and never a task's memory.
-A test item longer than ``passage_chars`` is tested by its passages of about
+The test passages are normalised by Spark and written as a side table; tasks
+stream its blocks of at most ``BLOCK_ROWS`` passages past the documents they
+have gathered, so the documents are read once, nothing of the benchmark passes
+through the driver, and its size never sets a task's memory. A benchmark of one
+block is made an automaton once per worker. A test item longer than ``passage_chars`` is tested by its passages of about
 that length, cut between words: each passage found counts as the item.
 
 Edge cases: a null or empty document matches nothing; a null or empty test item
-(nothing left in normal form) is never matched; equal items are reported each;
+(nothing left in normal form) is never matched; an item shorter than
+``1 / error_rate`` characters allows no edit and is found wherever its normal
+form stands, inside words too, so an item of one letter is in every text with
+that letter; equal items are reported each;
 repeated document rows give repeated results; an empty table on either side
 gives an empty result; a null doc_id is kept; extra columns are ignored.
 """
@@ -22,19 +27,20 @@ gives an empty result; a null doc_id is kept; extra columns are ignored.
 from __future__ import annotations
 
 import re
-import uuid
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weft.llm.common import frugal, texts
+from weft.llm.common import frugal, text_slices, texts
+from weft.operators.side import prepared_blocks, write_side
 from weft.session import cut_lineage, ship_package
 
 ERROR_RATE = 0.05
 PASSAGE_CHARS = 1000
-BLOCK_CHARS = 16 << 20
+#: Passages of one block, and characters of documents that a task holds beside it.
+BLOCK_ROWS, GATHER_CHARS = 4096, 16_000_000
 
 _WORDS = re.compile(r"[^\W_]+")
 
@@ -130,57 +136,61 @@ class Matcher:
         return found
 
 
-def _blocks(benchmark: DataFrame, block_chars: int):
-    """The test passages in blocks of at most ``block_chars`` (or one item)."""
-    block: list[tuple[int, str]] = []
-    held = 0
-    for row in benchmark.where("item_id IS NOT NULL").select("item_id", F.col("text").cast("string").alias("text")).toLocalIterator():
-        for passage in passages(normal_form(row["text"] or "")):
-            if block and held + len(passage) > block_chars:
-                yield block
-                block, held = [], 0
-            block.append((row["item_id"], passage))
-            held += len(passage)
-    if block:
-        yield block
+def written_passages(benchmark: DataFrame) -> str:
+    """Folder of the side table (item_id, passage)."""
 
+    def cut(batches):
+        for batch in batches:
+            for lo in range(0, batch.num_rows, 1024):
+                part = batch.slice(lo, 1024)
+                rows = [(item, p) for item, text in zip(part.column("item_id").to_pylist(), texts(part.column("text"))) for p in passages(normal_form(text))]
+                if rows:
+                    items, own = zip(*rows)
+                    yield pa.RecordBatch.from_arrays([pa.array(items, pa.int64()), pa.array(own, pa.string())], names=["item_id", "passage"])
 
-#: The worker's automaton, by the broadcast block it was built from.
-_MATCHERS: dict[str, Matcher] = {}
+    tests = benchmark.where("item_id IS NOT NULL").select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text"))
+    return write_side(tests.mapInArrow(frugal(cut), "item_id long, passage string"), "passages")
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame, error_rate: float = ERROR_RATE, block_chars: int = BLOCK_CHARS) -> DataFrame:
+def contaminated(docs: DataFrame, benchmark: DataFrame, error_rate: float = ERROR_RATE, block_rows: int = BLOCK_ROWS, gather_chars: int = GATHER_CHARS) -> DataFrame:
     """(doc_id, item_id, distance): each document that holds a test item within
     its error budget, with the least distance found."""
-    spark = docs.sparkSession
-    ship_package(spark)
-    schema = "doc_id long, item_id long, distance int"
+    ship_package(docs.sparkSession)
+    path = written_passages(benchmark)
+
+    def prepare(block: pa.Table) -> Matcher:
+        return Matcher(list(zip(block.column("item_id").to_pylist(), block.column("passage").to_pylist())), error_rate)
+
+    def gathered(batches):
+        held, size = [], 0
+        for batch in batches:
+            for part in text_slices(batch, "text", gather_chars):
+                held.append(part)
+                size += part.column("text").nbytes
+                if size >= gather_chars:
+                    yield held
+                    held, size = [], 0
+        if held:
+            yield held
+
+    def match(batches):
+        for held in gathered(batches):
+            # rows of the gathered slices, each with its least distance per item:
+            # an item cut over two blocks may be found in both
+            found: dict[tuple[int, int], dict[int, int]] = {}
+            for matcher in prepared_blocks(path, prepare, block_rows):
+                for s, part in enumerate(held):
+                    for r, text in enumerate(texts(part.column("text"))):
+                        for item, distance in matcher.find(normal_form(text)).items():
+                            own = found.setdefault((s, r), {})
+                            own[item] = min(distance, own.get(item, distance))
+            rows = [(held[s].column("doc_id")[r].as_py(), item, d) for (s, r), own in sorted(found.items()) for item, d in sorted(own.items())]
+            if rows:
+                d, i, e = zip(*rows)
+                yield pa.RecordBatch.from_arrays([pa.array(d, pa.int64()), pa.array(i, pa.int64()), pa.array(np.array(e, np.int32))], names=["doc_id", "item_id", "distance"])
+
     wanted = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    parts = []
-    for tests in _blocks(benchmark, block_chars):
-        shared = spark.sparkContext.broadcast(tests)
-
-        def match(batches, shared=shared, key=uuid.uuid4().hex):
-            if key not in _MATCHERS:
-                _MATCHERS.clear()
-                _MATCHERS[key] = Matcher(shared.value, error_rate)
-            matcher = _MATCHERS[key]
-            for batch in batches:
-                rows = []
-                for doc, text in zip(batch.column("doc_id").to_pylist(), texts(batch.column("text"))):
-                    rows += [(doc, item, distance) for item, distance in sorted(matcher.find(normal_form(text)).items())]
-                if rows:
-                    d, i, e = zip(*rows)
-                    yield pa.RecordBatch.from_arrays([pa.array(d, pa.int64()), pa.array(i, pa.int64()), pa.array(np.array(e, np.int32))], names=["doc_id", "item_id", "distance"])
-
-        parts.append(wanted.mapInArrow(frugal(match), schema))
-    if not parts:
-        return spark.createDataFrame([], schema)
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    # an item cut over two blocks may be found in both
-    return out if len(parts) == 1 else out.groupBy("doc_id", "item_id").agg(F.min("distance").alias("distance"))
+    return wanted.mapInArrow(frugal(match), "doc_id long, item_id long, distance int")
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, error_rate: float = ERROR_RATE) -> DataFrame:
