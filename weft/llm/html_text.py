@@ -3,16 +3,17 @@
 A page becomes its sequence of text blocks, each with the root-to-leaf path of
 the block element that holds it (tag names with classes). Per path, text length
 and punctuation are added up over its blocks and divided by the tags seen on
-it; the two ratios are fused and discounted by the share of linked text,
-smoothed along the page with a Gaussian and compared with a threshold, the
-standard deviation over the page. Selected paths give the content nodes.
+it; the two ratios are fused and discounted by the share of linked text, and
+smoothed along the page with a Gaussian. A path's value is the geometric mean of
+its own ratio and the smoothed one around its blocks; paths from ``SHARE`` of the
+best value on are selected and give the content nodes.
 
 Two structural rules complete the ratios, which alone lose short paragraphs and
 titles: blocks under elements that never hold main text (menus, page headers,
-footers, asides, forms, scripts, and elements with a class token, id or role that
+footers, asides, scripts, forms, and elements with a class token, id or role that
 names an advert, notice, sidebar, menu or comments and no state such as "no-" or
-"-enabled") are out, but no name puts out the element that holds the chief
-``article`` or ``main`` or, on pages without, most of the page's text; where an ``article`` or
+"-enabled") are out, but neither a name nor a form puts out the element that holds
+the chief ``article`` or ``main`` or, on pages without, most of the page's text; where an ``article`` or
 ``main`` element holds most of the selected text, all its other blocks are in,
 else headings and blocks beside selected ones are.
 
@@ -41,8 +42,9 @@ from pyspark.sql import functions as F
 from weft.llm.common import frugal, text_slices, texts
 from weft.session import ship_package
 
-#: Width of the smoothing, in blocks, and factor of the standard deviation.
-SMOOTHING, FACTOR = 1.0, 0.5
+#: Width of the smoothing, in blocks, and the share of the best path's value from
+#: which a path is selected.
+SMOOTHING, SHARE = 1.0, 0.45
 
 # Elements of HTML by their part in a page.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -50,7 +52,7 @@ RAW = frozenset("script style textarea title noscript template xmp iframe nofram
 BLOCKS = frozenset(
     "address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol p pre search section summary table tbody td tfoot th thead tr ul".split()
 )
-NEVER = frozenset("nav footer aside form menu dialog button select option svg object head search fieldset".split())
+NEVER = frozenset("nav footer aside menu dialog button select option svg object head search fieldset".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 MAIN = frozenset(("article", "main"))
 SAME_CLOSES = frozenset("li dd dt tr td th option p".split())
@@ -61,14 +63,16 @@ KIN = {t: k.split() for k in ("li", "dd dt", "tr", "td th") for t in k.split()}
 LIMITS = {"li": f"ul ol menu dir dl table td th {_SECTIONS}", "dd": f"dl ul ol table td th {_SECTIONS}", "tr": "table", "td": "tr table"}
 LIMITS = {t: LIMITS[next(k for k in KIN[t] if k in LIMITS)].split() for t in KIN}
 BOILERPLATE = re.compile(
-    r"(?:ads?|advert\w*|adverti[sz]ement\w*|banner|breadcrumbs?|comments?|cookies?|consent|copyright|disqus|footer|header|login|masthead|menu|modal|nav|navbar|navigation|newsletter|notices?|pagination|pager|popup|promo\w*|related|share|sharing|sidebar|signup|social|sponsor\w*|subscribe|toolbar|widget)"
+    r"(?:ads?|advert\w*|adverti[sz]ement\w*|banner|breadcrumbs?|comments?|comentarios?|commentaires?|cookies?|consent|copyright|discussions?|disqus|feedback|footer|header|kommentare?|login|masthead|menu|modal|nav|navbar|navigation|newsletter|notices?|pagination|pager|popup|promo\w*|rail|reactions?|related|repl(?:y|ies)|responses?|share|sharing|sidebar|signup|social|sponsor\w*|subscribe|toolbar|widget)"
 )
 # Words that make a name tell a state or layout of its element, not its part.
 STATES = frozenset("has have no not with without is hide hides hidden show shows enable enabled disable disabled on off open opened closed active layout wrapper".split())
-#: Share of a page's unlinked text from which a boilerplate name is not believed.
-MOST = 0.75
+#: Share of a page's unlinked text from which a boilerplate name is not believed;
+#: shorter blocks than PROSE without any punctuation do not count.
+MOST, PROSE = 0.75, 40
 _ATTRIBUTES = re.compile(r"""\b(class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""", re.IGNORECASE)
 _PUNCTUATION = re.compile(r"[.,;:!?¡¿…。，、；：！？]")
+_STOP = re.compile("[\"'>]")
 _NAME = re.compile(r"[a-zA-Z][^\s/>]*")
 
 
@@ -114,7 +118,8 @@ class _Page:
             self._implied(tag)
             here = self.stack[-1][1]
             marks = {k.lower(): v.strip("\"'") for k, v in _ATTRIBUTES.findall(attributes)} if "=" in attributes else {}
-            aside = bool(marks) and tag not in ("html", "body") and tag not in MAIN and names_boilerplate(" ".join(marks.values()))
+            # a form may be the layout around a whole page: it is judged like a name
+            aside = tag == "form" or bool(marks) and tag not in ("html", "body") and tag not in MAIN and names_boilerplate(" ".join(marks.values()))
             label = tag + "".join("." + c for c in marks.get("class", "").split()) + "!" * aside
             node = self.nodes.get((here, label))
             if node is None:
@@ -190,7 +195,7 @@ class _Page:
             return
         mass = [0] * len(self.parent)
         for path, text, linked in self.blocks:
-            if not self.out[path]:
+            if not self.out[path] and (len(text) >= PROSE or _PUNCTUATION.search(text)):
                 mass[path] += len(text) - linked
         for node in range(len(mass) - 1, 0, -1):
             mass[self.parent[node]] += mass[node]
@@ -212,8 +217,23 @@ class _Page:
             self.out[node] = self.out[node] or self.out[self.parent[node]] or (self.named[node] and not spared)
 
 
+def tag_end(html: str, at: int) -> int:
+    """Place of the ``>`` that ends the tag whose name ends at ``at``; -1 without
+    one. A quoted value (a quote after ``=``) may hold any characters and be of any
+    length; a quote that nothing closes counts as none. Each character is looked
+    at once, as after a quote without its like there is no second one to look for."""
+    while stop := _STOP.search(html, at):
+        if (mark := stop.group()) == ">":
+            return stop.start()
+        at = stop.end()
+        if html[max(0, stop.start() - 64) : stop.start()].rstrip().endswith("="):
+            shut = html.find(mark, at)
+            at = shut + 1 if shut >= 0 else at
+    return -1
+
+
 def page_blocks(html: str) -> _Page:
-    page, at, n, quotes = _Page(), 0, len(html), True
+    page, at, n = _Page(), 0, len(html)
     while at < n:
         lt = html.find("<", at)
         if lt < 0 or lt + 1 >= n:
@@ -236,18 +256,9 @@ def page_blocks(html: str) -> _Page:
             page.add("<")
             at = lt + 1
             continue
-        end = html.find(">", name.end())
+        end = tag_end(html, name.end())
         if end < 0:
             break
-        if quotes:
-            while (html.count('"', name.end(), end) & 1) or (html.count("'", name.end(), end) & 1 and html.count('"', name.end(), end) == 0):
-                mark = '"' if html.count('"', name.end(), end) & 1 else "'"
-                shut = html.find(mark, end)
-                further = html.find(">", shut) if shut >= 0 else -1
-                if further < 0 or further - name.end() > 10_000:
-                    quotes = further >= 0
-                    break
-                end = further
         tag, at = name.group().lower(), end + 1
         if closing:
             page.close(tag)
@@ -262,13 +273,12 @@ def page_blocks(html: str) -> _Page:
     return page
 
 
-def select_blocks(page: _Page, smoothing: float = SMOOTHING, factor: float = FACTOR) -> list[str]:
-    """Texts of the content blocks in page order."""
-    blocks = page.blocks
-    kept = [i for i, (path, _, _) in enumerate(blocks) if not page.out[path]]
-    if not kept:
-        return []
-    chars, marks, linked = np.zeros(len(page.parent)), np.zeros(len(page.parent)), np.zeros(len(page.parent))
+def path_values(page: _Page, smoothing: float = SMOOTHING) -> np.ndarray:
+    """The fused and smoothed ratio of each path: text length per tag times
+    punctuation per tag, less the linked share, and its smoothed value around the
+    path's blocks (weighted by their length), by their geometric mean."""
+    blocks, n = page.blocks, len(page.parent)
+    chars, marks, linked = np.zeros(n), np.zeros(n), np.zeros(n)
     for path, text, link in blocks:
         chars[path] += len(text)
         marks[path] += len(_PUNCTUATION.findall(text))
@@ -276,12 +286,24 @@ def select_blocks(page: _Page, smoothing: float = SMOOTHING, factor: float = FAC
     tags = np.maximum(np.array(page.tags), 1)
     fused = (chars / tags) * (1 + marks / tags) * (1 - linked / np.maximum(chars, 1))
     fused[np.array(page.out)] = 0
-    sequence = fused[[b[0] for b in blocks]]
+    of = np.array([b[0] for b in blocks])
     reach = max(1, int(3 * smoothing))
     kernel = np.exp(-0.5 * (np.arange(-reach, reach + 1) / smoothing) ** 2)
-    smooth = np.convolve(sequence, kernel / kernel.sum(), mode="full")[reach : reach + len(blocks)]
-    threshold = min(factor * float(smooth.std()), float(smooth[kept].max()))
-    selected = {blocks[i][0] for i in kept if smooth[i] >= threshold and sequence[i] > 0}
+    smooth = np.convolve(fused[of], kernel / kernel.sum(), mode="full")[reach : reach + len(blocks)]
+    weight = np.array([len(b[1]) for b in blocks], float)
+    around = np.bincount(of, smooth * weight, n) / np.maximum(np.bincount(of, weight, n), 1)
+    return np.sqrt(fused * around)
+
+
+def select_blocks(page: _Page, smoothing: float = SMOOTHING, share: float = SHARE) -> list[str]:
+    """Texts of the content blocks in page order."""
+    blocks = page.blocks
+    kept = [i for i, (path, _, _) in enumerate(blocks) if not page.out[path]]
+    if not kept:
+        return []
+    value = path_values(page, smoothing)
+    best = max(value[blocks[i][0]] for i in kept)
+    selected = {blocks[i][0] for i in kept if value[blocks[i][0]] >= share * best and (best == 0 or value[blocks[i][0]] > 0)}
     mass: dict[int, int] = {}
     for i in kept:
         if blocks[i][0] in selected:
