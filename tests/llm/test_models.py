@@ -5,9 +5,11 @@ import html
 import math
 import random
 import re
+import time
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from llm_cases import ODD, SF, make  # noqa: F401
 from pyspark.sql import functions as F
@@ -302,6 +304,50 @@ def test_comments_in_articles_of_their_own_stay_out():
     assert not html_text.names_boilerplate("no-comments has-sidebar share-enabled") and html_text.names_boilerplate("x cookie-notice")
 
 
+@pytest.mark.parametrize("name", ["replies", "discussion", "responses", "user-feedback", "kommentare", "right-rail", "post-comments"])
+def test_named_comments_stay_out(name):
+    text = "A long text, with punctuation; and more words here, to be sure."
+    assert html_text.main_text(f"<body><div><p>{text}</p></div><div class='{name}'><p>I disagree, strongly.</p></div></body>") == text
+
+
+def test_a_form_around_the_page_does_not_put_out_its_text():
+    text = "A long text, with punctuation; and more words here, to be sure."
+    menu, login = "<nav><a href=x>Home</a></nav>", "<form><label>Name, please.</label><input></form>"
+    for page in (f"<form id=aspnet>{menu}<article><p>{text}</article></form>", f"<form>{menu}<div><p>{text}{text}<p>{text}</div></form>"):
+        assert text in html_text.main_text(page) and "Home" not in html_text.main_text(page)
+    assert html_text.main_text(f"<div><p>{text}{text}</p></div>{login}") == text + text
+
+
+def test_attributes_of_any_length_are_no_text():
+    value = "x > y; " * 5000
+    for quote in "\"'":
+        other = "'" if quote == '"' else '"'
+        assert html_text.main_text(f"<div data-x={quote}{value}{other}{quote} class=a><p>The text, all of it.</p></div>") == "The text, all of it."
+    assert html_text.main_text("<p title=it's>a, b</p><p>c, d</p>") == "a, b\nc, d"
+    assert html_text.main_text("<p title=\"never closed>a, b</p>") == "a, b"
+
+
+def stripped(page):
+    """A page without the tags and names that tell its parts."""
+    page = re.sub(r"<(/?)(nav|article|footer|header|aside|section|main)\b[^>]*>", r"<\1div>", page)
+    return re.sub(r'\s(class|id|role)="[^"]*"', "", page)
+
+
+def test_ratios_tell_main_text_without_tags_and_names(spark):
+    """At most 2 % of the other blocks stay and hardly any main text goes; without
+    the ratios nearly all blocks that are no links would stay."""
+    boiler = stays = main = found = free = 0
+    for r in spark.read.parquet("/root/testdata/sf0.1/pages.parquet").collect():
+        body = r["html"].partition("<article>")[2].partition("</article>")[0].partition("<footer>")[0]
+        own = [b for b in (" ".join(html.unescape(re.sub(r"</?b>|<br>", " ", x)).split()) for x in re.split(r"</?(?:p|h1)>", body)) if b]
+        page = html_text.page_blocks(stripped(r["html"]))
+        got, all_ = html_text.select_blocks(page), [b[1] for b in page.blocks]
+        boiler, stays = boiler + sum(b not in own for b in all_), stays + sum(b not in own for b in got)
+        main, found = main + len(own), found + sum(b in got for b in own)
+        free += sum(b not in own for b in html_text.select_blocks(page, share=0.0))
+    assert stays <= 0.02 * boiler and found >= 0.999 * main and free > 10 * stays
+
+
 def _depth(page, node):
     return 0 if node <= 0 else 1 + _depth(page, page.parent[node])
 
@@ -361,6 +407,50 @@ def test_search_with_few_or_no_candidates(spark):
     assert run_search(spark, [(0, None, 0)]) == {}
 
 
+def test_search_of_repeated_ids_and_clashing_columns(spark):
+    rows = [(20, [1.0, 0.0], 0), (20, [0.0, 1.0], 0), (21, [1.0, 0.1], 0), (21, [1.0, 0.1], 0), (22, [0.2, 1.0], 0)]
+    df = spark.createDataFrame([(i, v, l, 7, 7, 7) for i, v, l in rows], "vec_id long, embedding array<double>, label int, score int, rank int, query_id int")
+    v = permutation.usable(df)
+    got = sorted(tuple(r) for r in permutation.search(permutation.build_index(v), v.where("vec_id = 22")).collect())
+    # rows repeating an id are candidates each
+    assert got == [(22, 1, 20, 1.0), (22, 2, 21, 0.30000000000000004), (22, 3, 21, 0.30000000000000004), (22, 4, 20, 0.2)]
+    assert {r["vec_id"] for r in permutation.search(permutation.build_index(v), v.where("vec_id = 20")).collect()} == {21, 22}
+
+
+def test_clustered_vectors_are_found_from_few_files():
+    """100,000 vectors in clusters: recall, vectors touched, and CPU beside an exact scan."""
+    rng = np.random.default_rng(3)
+    centres = rng.normal(size=(500, 64))
+    x = centres[rng.integers(0, 500, 100_000)] + rng.normal(size=(100_000, 64)) * 0.35
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    pivots, m, size = x[rng.choice(len(x), 1024, replace=False)], 16, permutation.BLOCK
+    blocks = []
+    for lo in range(0, len(x), size):
+        own = x[lo : lo + size]
+        files = permutation.inverted_files(permutation.nearest_pivots(own, pivots, m), len(pivots))
+        blocks.append(permutation.Block(*(pa.scalar(a.tobytes(), pa.binary()) for a in (np.arange(lo, lo + len(own)), own, *files)), pa.scalar(len(own))))
+    asked = rng.choice(len(x), 60, replace=False)
+    near = permutation.nearest_pivots(x[asked], pivots, m)
+    began = time.process_time()
+    found = []
+    for q, own in zip(asked.tolist(), near):
+        parts = [b.nearest(x[q], q, own, 82, 20) for b in blocks]
+        ids, score = (np.concatenate(c) for c in zip(*parts))
+        found.append(set(ids[np.lexsort((ids, -score))[:20]].tolist()))
+    index_time = time.process_time() - began
+    began = time.process_time()
+    exact = []
+    for q in asked.tolist():
+        score = (x * x[q]).sum(axis=1)
+        score[q] = -np.inf
+        exact.append(set(np.lexsort((np.arange(len(x)), -score))[:20].tolist()))
+    scan_time = time.process_time() - began
+    recall = np.mean([len(a & b) / 20 for a, b in zip(found, exact)])
+    touched = np.mean([(b.closeness(own) > 0).mean() for own in near for b in blocks])
+    print(f"recall {recall:.3f}, touched {touched:.3f}, {index_time / scan_time:.2f} of the scan's CPU")
+    assert recall >= 0.9 and touched < 0.25 and index_time < scan_time
+
+
 def test_op9_recall(spark):
     sf = "/root/testdata/sf0.1"
     rows = [(r["vec_id"], r["embedding"]) for r in spark.read.parquet(f"{sf}/embeddings.parquet").collect()]
