@@ -149,3 +149,21 @@ def test_topk_passes_results_on_when_it_holds_many(spark, monkeypatch):
     df = spark.createDataFrame([(i, [float(x) for x in v]) for i, v in vecs.items()], "vec_id long, vec array<double>").repartition(2)
     got = top_k_matches(df, "vec_id", df.select(F.col("vec_id").alias("cid"), "vec"), ["cid"], kind="dense", k=2, exclude_self=True).collect()
     assert {(r["vec_id"], r["cid"]) for r in got} == {(q, c) for q, v in _brute(vecs, vecs, 2, exclude_self=True).items() for c, _ in v}
+
+
+def test_a_task_gathers_little_of_a_large_corpus(tmp_path, monkeypatch):
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    from weft.operators import scoring as S
+
+    seen = []
+    monkeypatch.setattr(S, "_list_parts", lambda arr, own=S._list_parts: seen.append(arr.nbytes) or own(arr))
+    vecs = lambda n: pa.ListArray.from_arrays(pa.array(np.arange(0, n * 100 + 1, 100), pa.int32()), pa.array(np.arange(n * 100) % 997, pa.int32()))
+    pq.write_table(pa.table({"q": [1, 2], "_v": vecs(2)}), str(tmp_path / "a.parquet"))
+    schema = pa.schema([("q", pa.int64()), ("id", pa.int64()), ("similarity", pa.float64())])
+    task = S._make_task(str(tmp_path), "vec", "q", ["id"], 1, "hashed", 65536, False, schema, S.DEFAULT_BLOCK_BYTES, S.GATHER_BYTES)
+    batches = [pa.RecordBatch.from_arrays([pa.array(range(i * 5000, (i + 1) * 5000)), vecs(5000)], names=["id", "vec"]) for i in range(20)]
+    found = pa.Table.from_batches(list(task(iter(batches)))).to_pydict()
+    assert found["q"] == [1, 2] and len(found["id"]) == 2
+    assert sum(seen) > 36 << 20 and max(seen) < 20 << 20
