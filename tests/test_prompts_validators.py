@@ -122,3 +122,14 @@ def test_prefix_name_sections(spark):
     got = {r["id"]: (r["p"], r["n"], r["s"]) for r in df.select(
         "id", V.has_prefix("r").alias("p"), V.single_name("n").alias("n"), V.sections_in_order("s").alias("s")).collect()}
     assert got == {1: (True, True, True), 2: (False, False, False), 3: (False, True, False), 4: (False, False, False)}
+
+
+def test_fields_of_a_record_are_cut_out_once(spark):
+    from weft.plans.catalog import _records
+
+    names = [x.lower().replace(" ", "_") for x in V.TASK_LABELS]
+    texts = spark.range(10).selectExpr("id", "concat('Task ID: T-', id, '\\nTask Title: x') AS text")
+    found = _records(texts, V.task("text"), names)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert 1 <= plan.count("regexp_extract(") <= len(names)
+    assert [tuple(r)[1:6] for r in found.orderBy("id").limit(2).collect()] == [(False, 1, 0, "T-0", "x"), (False, 1, 0, "T-1", "x")]
