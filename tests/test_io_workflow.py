@@ -139,3 +139,13 @@ def test_parse_sections_edges(spark):
     # '#' and '# ' (stripped to '#') are step lines, not headings; 'Empty' has them as steps
     assert [(r["section_idx"], r["title"], r["step_no"], r["step"]) for r in got] == [
         (1, "First", 1, "a"), (1, "First", 2, "b"), (2, "Empty", 1, "#"), (2, "Empty", 2, "#"), (3, "Last", 1, "c")]
+
+
+def test_whole_text_of_nested_folders(spark, tmp_path):
+    rows = [(1, "a\nb"), (1, "c"), (2, ""), (30, " x ")]
+    path = str(tmp_path / "docs")
+    spark.createDataFrame(rows, "doc_id long, text string").coalesce(1).write.partitionBy("doc_id").text(path)
+    back = read_whole_text(spark, path, nested=True)
+    assert back.columns == ["path", "text"]
+    found = {(int(r["path"].split("doc_id=")[1].split("/")[0]), r["text"]) for r in back.collect()}
+    assert found == {(1, "a\nb\nc\n"), (2, "\n"), (30, " x \n")}

@@ -17,9 +17,11 @@ _CSV_WRITE = {"header": "true", "escape": '"', "ignoreLeadingWhiteSpace": "false
 _CSV_READ = {"header": "true", "multiLine": "true", "escape": '"'}
 
 
-def read_whole_text(spark: SparkSession, path: str) -> DataFrame:
-    """One row per file (newlines kept): ``path``, ``text``."""
-    return spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("text"))
+def read_whole_text(spark: SparkSession, path: str, nested: bool = False) -> DataFrame:
+    """One row per file (newlines kept): ``path``, ``text``. ``nested`` reads the
+    files of all folders below ``path`` and takes no columns from folder names, which
+    the driver would otherwise work out folder by folder."""
+    return spark.read.text(path, wholetext=True, recursiveFileLookup=nested).select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("text"))
 
 
 def write_chunks_csv(chunks: DataFrame, path: str, columns=("text", "chunk_size"), mode: str = "errorifexists") -> None:
