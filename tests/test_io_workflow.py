@@ -190,3 +190,16 @@ def test_whole_text_of_odd_ids(spark, tmp_path):
     spark.createDataFrame([(None, "n"), (-3, "a"), (-3, "a"), (7, None)], "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
     md5 = lambda s: hashlib.md5(s.encode()).hexdigest()
     assert {tuple(r) for r in whole_text(spark, str(tmp_path)).collect()} == {(None, 2, md5("n\n")), (-3, 4, md5("a\na\n")), (7, 1, md5("\n"))}
+
+
+def test_workflow_sides_of_a_row_per_project_are_not_broadcast(spark, tmp_path):
+    from weft.plans.workflow import _first_state
+
+    # files of repeated texts are far smaller than their rows, and Spark's bound on broadcasts goes by the files
+    for name, cols in (("projects", ["id AS project_id", "'a spec' AS spec"]), ("steps", ["id AS project_id", "1 AS step_idx", "'Define' AS step"]),
+                       ("seeds", ["id AS project_id", "'Plan' AS prompt"]), ("results", ["id AS project_id", "1 AS step_idx", "'done' AS result"])):
+        spark.range(100).selectExpr(*cols).write.parquet(str(tmp_path / name))
+    projects, steps, seeds, results = (spark.read.parquet(str(tmp_path / n)) for n in ("projects", "steps", "seeds", "results"))
+    for df in (_first_state(projects, steps, seeds, "spec"), _first_state(projects, steps, "Plan", "spec"), assemble(projects, results)):
+        assert "Broadcast" not in df._jdf.queryExecution().executedPlan().toString()
+        assert df.count() == 100
