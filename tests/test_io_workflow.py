@@ -203,3 +203,20 @@ def test_workflow_sides_of_a_row_per_project_are_not_broadcast(spark, tmp_path):
     for df in (_first_state(projects, steps, seeds, "spec"), _first_state(projects, steps, "Plan", "spec"), assemble(projects, results)):
         assert "Broadcast" not in df._jdf.queryExecution().executedPlan().toString()
         assert df.count() == 100
+
+
+def test_workflow_step_ranks_sentences_twice_and_hashes_tokens_in_tasks(spark):
+    from weft.operators.completion import ExtractiveCompleter, RuleSet
+    from weft.operators.embedding import HashingEmbedder
+    from weft.operators.routing import prepare_routes
+    from weft.plans.workflow import _first_state, _routed, _whole_step
+
+    emb, projects = HashingEmbedder(), spark.createDataFrame([(1, "One. Two.")], "project_id long, spec string")
+    answer = projects.select(ExtractiveCompleter("spec", "spec").response(projects).alias("answer"))
+    assert answer._jdf.queryExecution().optimizedPlan().toString().count("array_intersect(") == 1
+    steps = spark.createDataFrame([(1, 1, "Define the user stories")], "project_id long, step_idx int, step string")
+    asked = _routed(_first_state(projects, steps, "Plan", "spec"), prepare_routes(P.job_routes(spark), emb), emb, P.job_agents(spark), "product_manager")
+    rules = RuleSet("agent_id", {"product_manager": Rule("c", lambda r: F.length(r) > 3)})
+    plan = _whole_step(asked, rules)._jdf.queryExecution().optimizedPlan().toString()
+    # the first answer and the candidates: each ranks the sentences once, the knowledge is cut once for both
+    assert plan.count("array_intersect(") == 2 and plan.count("([.!?]) ") == 1 and "md5(" not in plan
